@@ -21,6 +21,18 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.ngram import score_held_out
+
+    return score_held_out(_table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.langid import language_id
+
+    return language_id(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.simhash import simhash_dedup
 
@@ -33,6 +45,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.sharding import shard_by_bytes
+
+    return shard_by_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,5 +59,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_secrets, op7_simhash, op8_quality, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op3_secrets, op5_ngram, op6_language, op7_simhash, op8_quality, op9_shards, op10_bpe)}
 ORACLES: dict[str, str] = {}
