@@ -21,6 +21,15 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.chat import chat_digests
+
+    said = r"\### Assistant: </turn> ok"
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat_digests(turns.unionByName(more))
+
+
 def op5_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.ngram import score_held_out
 
@@ -59,5 +68,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_secrets, op5_ngram, op6_language, op7_simhash, op8_quality, op9_shards, op10_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_secrets, op4_chat, op5_ngram, op6_language, op7_simhash, op8_quality, op9_shards, op10_bpe)}
+ORACLES: dict[str, str] = {
+    "op4_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), sized AS (
+            SELECT *, 6 + length(replace(replace(replace(role, '\', '\\'), '<', '\<'), chr(10), '\n')) + 1
+                + length(replace(replace(text, '\', '\\'), '<', '\<')) + 8 AS chars
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
+}
