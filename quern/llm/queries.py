@@ -15,6 +15,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.pages import extract_pages
+
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.secrets import secret_scan
 
@@ -68,7 +74,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_secrets, op4_chat, op5_ngram, op6_language, op7_simhash, op8_quality, op9_shards, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pages, op3_secrets, op4_chat, op5_ngram, op6_language, op7_simhash, op8_quality, op9_shards, op10_bpe)}
 ORACLES: dict[str, str] = {
     "op4_chat": r"""
         WITH turns AS (
