@@ -21,6 +21,18 @@ def op1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.decontaminate import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.secrets import secret_scan
 
@@ -74,7 +86,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_pages, op3_secrets, op4_chat, op5_ngram, op6_language, op7_simhash, op8_quality, op9_shards, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pages, op2_decontaminate, op3_secrets, op4_chat, op5_ngram, op6_language, op7_simhash, op8_quality, op9_shards, op10_bpe, pipeline)}
 ORACLES: dict[str, str] = {
     "op4_chat": r"""
         WITH turns AS (

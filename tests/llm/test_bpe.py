@@ -3,7 +3,7 @@ import hashlib
 import public_tokenizers as P
 import tiktoken
 
-from quern.llm.bpe import Bytes, bpe_decode, bpe_encode, bpe_round_trip, ranks
+from quern.llm.bpe import Bytes, bpe_decode, bpe_encode, bpe_round_trip, ranks, units
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 
@@ -27,3 +27,15 @@ def test_encode_then_decode(spark, odd_docs):
 def test_empty_table_and_empty_ids(spark, no_docs):
     assert bpe_round_trip(no_docs, PATH, P.PATTERN).collect() == []
     assert Bytes(PATH).decode(b"") == b""
+
+
+def test_units_split_into_the_words_of_the_text():
+    import random
+
+    import regex
+
+    find, rng = regex.compile(P.PATTERN).findall, random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choices([" ", "  ", "\n", "a", "bc", "'s", "1", ".", "é", "\x1c", "\x85", "\xa0", "日"], k=rng.randrange(12)))
+        assert "".join(units(text)) == text
+        assert [w for u in units(text) for w in find(u)] == find(text), ascii(text)
