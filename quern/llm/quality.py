@@ -12,6 +12,7 @@ table gives an empty result. Only doc_id and text are read, so other columns don
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from quern.llm.common import rows, slices, text_of
 
 SYMBOLS = b"#*$%&|<>"
+ASCII_LETTERS = bytes([*range(0x41, 0x5B), *range(0x61, 0x7B)])
 #: Bands by script: least and most characters per token, most byte-fallback share, least token entropy in bits.
 #: A script whose letters the vocabulary holds only in part may fall back to bytes more often.
 BANDS = {
@@ -42,7 +44,7 @@ RANGES = {
 }
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: Words whose tokens a worker keeps at hand.
-AT_HAND = 100_000
+AT_HAND = 400_000
 SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()),
@@ -54,29 +56,43 @@ DDL = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup
 
 
 def repeat_words(words: list[bytes]) -> int:
-    """How many words lie in a three-word window that the text holds twice or more."""
-    windows = list(zip(words, words[1:], words[2:], strict=False))
-    distinct = set(windows)
-    if len(distinct) == len(windows):
+    """How many words lie in a three-word window that the text holds twice or more.
+
+    Windows whose mixed hashes occur once can't repeat; only the others, mostly none, are compared as words.
+    """
+    if len(words) < 4:
+        return 0
+    h = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    mixed = (h[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ h[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:]
+    order = np.sort(mixed)
+    if not (order[1:] == order[:-1]).any():
         return 0
-    often = {w for w, n in Counter(windows).items() if n > 1}
+    maybe = np.flatnonzero(np.isin(mixed, order[1:][order[1:] == order[:-1]])).tolist()
+    windows = Counter((words[i], words[i + 1], words[i + 2]) for i in maybe)
     hit = np.zeros(len(words), bool)
-    found = np.flatnonzero(np.fromiter(map(often.__contains__, windows), bool, len(windows)))
+    found = np.array([i for i in maybe if windows[words[i], words[i + 1], words[i + 2]] > 1], np.int64)
     hit[found] = hit[found + 1] = hit[found + 2] = True
     return int(hit.sum())
 
 
 def script_of(text: str) -> str:
     """The script of most of the letters; the first named wins a tie. Latin where there is no letter."""
+    raw = text.encode()
+    if 2 * (len(raw) - len(raw.translate(None, ASCII_LETTERS))) >= len(text):
+        return "Latin"
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     counts = {name: sum(int(((points >= a) & (points <= b)).sum()) for a, b in spans) for name, spans in RANGES.items()}
-    if counts["Latin"] * 2 >= len(points):
-        return "Latin"
     counts["other"] = sum(map(str.isalpha, text)) - sum(counts.values())
     best = max(counts, key=counts.get)
     return best if counts[best] > 0 else "Latin"
 
 
+@functools.lru_cache(maxsize=1)
+def fertility_of(path: str) -> Fertility:
+    """One for each worker: what it keeps at hand outlives a task."""
+    return Fertility(path)
+
+
 class Fertility:
     """Tokens of words by a sentencepiece vocabulary; its pieces never reach over white space, so words stand alone."""
 
@@ -85,18 +101,18 @@ class Fertility:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.fromiter(map(self.model.is_byte, range(self.model.get_piece_size())), bool)
-        self.kept: dict[bytes, list[int]] = {}
+        self.kept: dict[bytes, bytes] = {}
 
     def tokens(self, words: list[bytes]) -> np.ndarray:
-        counts, kept = Counter(words), self.kept
-        missing = [w for w in counts if w not in kept]
-        found = dict(zip(missing, self.model.encode([w.decode() for w in missing], num_threads=1), strict=True)) if missing else {}
-        ids = [(found[w] if w in found else kept[w], n) for w, n in counts.items()]
-        if len(kept) < AT_HAND:
-            kept |= found
-        sizes = np.fromiter((len(x) for x, _ in ids), np.int64, len(ids))
-        flat = np.fromiter((i for x, _ in ids for i in x), np.int64, int(sizes.sum()))
-        return np.bincount(flat, np.repeat(np.fromiter((n for _, n in ids), np.int64, len(ids)), sizes), len(self.is_byte))
+        """How often each token occurs."""
+        ids = list(map(self.kept.get, words))
+        if None in ids:
+            missing = list({w for w, x in zip(words, ids, strict=True) if x is None})
+            new = dict(zip(missing, (np.array(x, np.uint32).tobytes() for x in self.model.encode([w.decode() for w in missing], num_threads=1)), strict=True))
+            ids = [new[w] if x is None else x for w, x in zip(words, ids, strict=True)]
+            if len(self.kept) < AT_HAND:
+                self.kept |= new
+        return np.bincount(np.frombuffer(b"".join(ids), np.uint32), minlength=len(self.is_byte))
 
     def measure(self, words: list[bytes], word_chars: int) -> tuple[int, float, float, float]:
         """Tokens, characters per token, byte share, entropy in bits."""
@@ -109,7 +125,7 @@ class Fertility:
 
 
 def _rated(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch]]:
-    fertility = Fertility(path)
+    fertility = fertility_of(path)
     for batch in slices(batches, "text"):
         out = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
