@@ -18,19 +18,22 @@ table gives an empty result. Only the named columns are read, so other columns d
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import Arrays, byte_texts, new_folder, partitions, rows, slices, text_of
 
-#: Distinct words that a task gathers before it passes them on, and words that a worker keeps at hand.
-GATHERED, AT_HAND = 400_000, 150_000
+#: Distinct units that a task gathers before it passes their words on, and units that a worker keeps at hand.
+GATHERED, AT_HAND = 500_000, 400_000
 WORDS = pa.schema([("part", pa.int32()), ("word", pa.binary())])
 DONE = pa.schema([("part", pa.int32()), ("words", pa.int64())])
 
@@ -75,7 +78,7 @@ class Words:
     """
 
     def __init__(self, arrays: Arrays, n: int) -> None:
-        self.arrays, self.n, self.open, self.kept = arrays, n, {}, {}
+        self.arrays, self.n, self.open = arrays, n, {}
 
     @staticmethod
     def save(arrays: Arrays, part: int, words: list[bytes], encode) -> None:
@@ -101,27 +104,63 @@ class Words:
         """The ids of each word as little-endian unsigned 32-bit integers."""
         hashes = _hash(words)
         parts, out = _part(hashes, self.n), [b""] * len(words)
-        for part in np.unique(parts).tolist():
-            mine = np.flatnonzero(parts == part)
-            sorted_hashes, at, text, ids_at, ids = self._of(part)
-            for k, i in zip(mine.tolist(), np.searchsorted(sorted_hashes, hashes[mine]).tolist(), strict=True):
-                while bytes(text[at[i] : at[i + 1]]) != words[k]:
-                    i += 1
-                out[k] = ids[ids_at[i] : ids_at[i + 1]].astype("<u4").tobytes()
+        order = np.argsort(hashes, kind="stable")
+        cuts = [0, *(np.flatnonzero(np.diff(parts[order])) + 1).tolist(), len(words)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            mine = order[a:b]
+            if not len(mine):
+                continue
+            sorted_hashes, at, text, ids_at, ids = self._of(int(parts[mine[0]]))
+            places = np.searchsorted(sorted_hashes, hashes[mine])
+            after = np.minimum(places + 1, len(sorted_hashes) - 1)
+            for j in np.flatnonzero((sorted_hashes[after] == hashes[mine]) & (after > places)).tolist():
+                while text[at[places[j]] : at[places[j] + 1]].tobytes() != words[mine[j]]:  # words of one hash
+                    places[j] += 1
+            data = memoryview(ids).cast("B")
+            for k, v, w in zip(mine.tolist(), (4 * ids_at[places]).tolist(), (4 * ids_at[places + 1]).tolist(), strict=True):
+                out[k] = bytes(data[v:w])
         return out
 
-    def ids(self, words: list[str]) -> bytes:
-        """The ids of a run of words, one after another."""
-        try:
-            return b"".join(map(self.kept.__getitem__, words))
-        except KeyError:
-            pass
-        missing = [w for w in dict.fromkeys(words) if w not in self.kept]
-        found = dict(zip(missing, self.look_up([w.encode() for w in missing]), strict=True))
-        if len(self.kept) < AT_HAND:
-            self.kept |= found
-            return b"".join(map(self.kept.__getitem__, words))
-        return b"".join([found[w] if w in found else self.kept[w] for w in words])
+    def encode(self, texts: list[str], find) -> list[bytes]:
+        """The ids of each text. Units that aren't at hand are split into words, and these looked up, all at once."""
+        kept = _kept(self.arrays.uri)
+        split = [units(t) for t in texts]
+        got = [list(map(kept.get, us)) for us in split]
+        open_ = [k for k, found in enumerate(got) if None in found]
+        missing = list({u for k in open_ for u, v in zip(split[k], got[k], strict=True) if v is None})
+        if missing:
+            words = [find(u) for u in missing]
+            distinct = list(dict.fromkeys(itertools.chain.from_iterable(words)))
+            ids = dict(zip(distinct, self.look_up([w.encode() for w in distinct]), strict=True))
+            new = {u: b"".join(map(ids.__getitem__, w)) for u, w in zip(missing, words, strict=True)}
+            for k in open_:
+                got[k] = [new[u] if v is None else v for u, v in zip(split[k], got[k], strict=True)]
+            if len(kept) < AT_HAND:
+                kept |= new
+        return [b"".join(found) for found in got]
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"open": {}}
+
+
+@functools.lru_cache(maxsize=1)
+def _kept(uri: str) -> dict[str, bytes]:
+    """The units that this worker has at hand; they outlive a task, but not the next table of words."""
+    return {}
+
+
+_APART = regex.compile(r"(?<=\S)(?= \S)")
+
+
+def units(text: str) -> list[str]:
+    """The text cut before each lone space: a pre-token starts there, whatever stands before or behind.
+
+    Few distinct units make up most of a corpus, so that the pattern has to run over each of these only.
+    """
+    pieces = text.split(" ")
+    if any(not p or p[0].isspace() or p[-1].isspace() for p in set(pieces)):
+        return _APART.split(text) if text else []
+    return [pieces[0], *map(" ".__add__, pieces[1:])]
 
 
 def build(texts: DataFrame, column: str, path: str, pattern: str) -> Words:
@@ -130,9 +169,7 @@ def build(texts: DataFrame, column: str, path: str, pattern: str) -> Words:
     n, arrays = partitions(spark), Arrays(new_folder(spark, "bpe"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find, seen = regex.compile(pattern).findall, set()
+        find, seen, done = regex.compile(pattern).findall, set(), set()
 
         def out() -> Iterator[pa.RecordBatch]:
             words = [w.encode() for w in seen]
@@ -140,12 +177,14 @@ def build(texts: DataFrame, column: str, path: str, pattern: str) -> Words:
             for a in range(0, len(words), 50_000):
                 yield rows(WORDS, part=pa.array(parts[a : a + 50_000]), word=words[a : a + 50_000])
             seen.clear()
+            done.clear()
 
         for batch in slices(batches, column):
-            for text in batch.column(column).to_pylist():
-                seen.update(find(text or ""))
-                if len(seen) > GATHERED:
-                    yield from out()
+            own = set(itertools.chain.from_iterable(units(text or "") for text in batch.column(column).to_pylist())) - done
+            seen.update(itertools.chain.from_iterable(map(find, own)))
+            done |= own
+            if len(done) > GATHERED:
+                yield from out()
         yield from out()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,11 +209,9 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, *, key: str = "doc_id",
     schema = pa.schema([(key, pa.int64()), (ids_column, pa.binary())])
 
     def join_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
         find = regex.compile(pattern).findall
         for batch in slices(batches, column):
-            yield rows(schema, **{key: batch.column(key), ids_column: [words.ids(find(t or "")) for t in batch.column(column).to_pylist()]})
+            yield rows(schema, **{key: batch.column(key), ids_column: words.encode([t or "" for t in batch.column(column).to_pylist()], find)})
 
     return text_of(docs, key, column).withColumn(key, F.col(key).cast("bigint")).mapInArrow(join_back, f"`{key}` bigint, `{ids_column}` binary")
 

@@ -109,7 +109,7 @@ class Arrays:
 
     def load(self, name: str) -> np.ndarray:
         if path := self._path():
-            return np.load(f"{path}/{name}.npy", mmap_mode="r")
+            return np.asarray(np.load(f"{path}/{name}.npy", mmap_mode="r"))  # slices of a plain array are cheaper
         from pyarrow import fs
 
         store, path = fs.FileSystem.from_uri(self.uri)
@@ -118,7 +118,7 @@ class Arrays:
         if not os.path.exists(to):
             fs.copy_files(f"{path}/{name}.npy", f"{to}.part", source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
             os.replace(f"{to}.part", to)
-        return np.load(to, mmap_mode="r")
+        return np.asarray(np.load(to, mmap_mode="r"))
 
     def __getstate__(self) -> dict:
         return {"uri": self.uri, "_local": None}
