@@ -12,6 +12,7 @@ from quern.operators import answers, buckets, chunks, consolidate, dedup, freshn
 from quern.operators.resolve import SEED, resolve
 from quern.plans import bulk, export, signals
 from quern.sources import feeds, markup, robots
+from quern.streaming import signals as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -718,3 +719,37 @@ def tab_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tab_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _tab_records(spark, sf_dir)
     return export.tab_counts({"Startups": records.where("kind = 'STARTUP'"), "Jobs": _signals(spark, sf_dir), "Research Papers": export.papers_tab(records)})
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir}/events.parquet"
+    read = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 4).parquet(f"{path}*")
+    return read.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT user_id, event_type, count(*) > 0 AS seen FROM events GROUP BY ALL")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First arrivals of each user and type, by a stream."""
+    keyed = _event_stream(spark, sf_dir).withColumn("key", F.concat_ws("|", "user_id", "event_type"))
+    done = stream.run_to_end(stream.first_arrivals(keyed, "key", "ts", "60 days"), "dedup", stream.work_folder(spark))
+    return done.select("user_id", "event_type", F.lit(True).alias("seen"))
+
+
+@query(f"SELECT event_id, {_GATE_SQL} AS freshness_decision FROM events")
+def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gated = stream.gated(_event_stream(spark, sf_dir), "ts", _reference()).select("event_id", "freshness_decision")
+    return stream.run_to_end(gated, "gate", stream.work_folder(spark))
+
+
+@query("SELECT event_type AS source_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type")
+def stream_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days are runs of a source; every item is judged once."""
+    items = _event_stream(spark, sf_dir).select(F.col("event_type").alias("source_id"), F.date_trunc("day", "ts").alias("run_at"), F.sha2(F.col("user_id").cast("string"), 256).alias("url_hash"), (F.col("event_id") % 40).cast("int").alias("position"))
+    done = stream.run_to_end(stream.undated_gate(items), "undated", stream.work_folder(spark))
+    return done.groupBy("source_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_type AS key, count(*) AS n FROM events GROUP BY event_type")
+def stream_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = stream.run_to_end(stream.bucket(_event_stream(spark, sf_dir), "event_type", "ts"), "bucket", stream.work_folder(spark))
+    return done.groupBy("key").agg(F.count("*").alias("n"))

@@ -6,10 +6,12 @@ Each is a DataFrame to DataFrame function of a streaming frame; sinks and checkp
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -83,6 +85,13 @@ def bucket(stream: DataFrame, key: str, at: str, *, rate: float = 5.0, burst: fl
     return own.groupBy("key").applyInPandasWithState(take, "key string, t double, allowed boolean", "tokens double, last double", "append", GroupStateTimeout.NoTimeout)
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for state and results where driver and executors meet: under spark.checkpoint.dir, or a temporary one if
+    that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
+    return f"{base.rstrip('/')}/quern-stream-{uuid.uuid4().hex[:12]}"
+
+
 def run_to_end(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """All that is there now, through the stream and into a parquet table beside the checkpoint."""
     out = f"{checkpoint}/{name}-out"
