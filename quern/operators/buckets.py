@@ -16,7 +16,7 @@ RATE, BURST, SPACING = 5.0, 10.0, 0.2
 
 
 def _folded(arrivals: DataFrame, key: str, at: str, tie: str, schema: str, fold) -> DataFrame:
-    own = arrivals.select(F.col(key).cast("string").alias("key"), (F.unix_micros(F.col(at).cast("timestamp")) / F.lit(1e6)).alias("t"), F.col(tie).cast("bigint").alias("id"))
+    own = arrivals.select(F.col(key).cast("string").alias("key"), F.unix_micros(F.col(at).cast("timestamp")).alias("t"), F.col(tie).cast("bigint").alias("id"))
     return own.repartition("key").sortWithinPartitions("key", "t", "id").mapInPandas(fold, schema)
 
 
@@ -24,18 +24,19 @@ def token_bucket(arrivals: DataFrame, key: str, at: str, tie: str, *, rate: floa
     """key, id, t, allowed and tokens left: a token comes back every 1 / rate seconds, up to burst; an arrival takes one."""
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, tokens, last = None, burst, 0.0
+        # Millionths of tokens and microseconds: sums of whole numbers stay exact.
+        current, full, tokens, last = None, burst * 1e6, 0.0, 0
         for frame in frames:
             allowed, left = [], []
             for k, t in zip(frame["key"], frame["t"], strict=True):
                 if current is None or k != current[0]:
-                    current, tokens, last = (k,), burst, t
-                tokens, last = min(burst, tokens + (t - last) * rate), t
-                ok = tokens >= 1.0
-                tokens -= ok
+                    current, tokens, last = (k,), full, t
+                tokens, last = min(full, tokens + (t - last) * rate), t
+                ok = tokens >= 1e6
+                tokens -= 1e6 * ok
                 allowed.append(ok)
-                left.append(tokens)
-            yield frame.assign(allowed=allowed, tokens=left)[["key", "id", "t", "allowed", "tokens"]]
+                left.append(tokens / 1e6)
+            yield frame.assign(t=frame["t"] / 1e6, allowed=allowed, tokens=left)[["key", "id", "t", "allowed", "tokens"]]
 
     return _folded(arrivals, key, at, tie, "key string, id bigint, t double, allowed boolean, tokens double", fold)
 
@@ -47,12 +48,12 @@ def pacing(arrivals: DataFrame, key: str, at: str, tie: str, *, spacing: float =
         current, free = None, 0.0
         for frame in frames:
             starts = []
-            for k, t in zip(frame["key"], frame["t"], strict=True):
+            for k, t in zip(frame["key"], frame["t"] / 1e6, strict=True):
                 if current is None or k != current[0]:
                     current, free = (k,), t
                 begins = max(t, free)
                 free = begins + spacing
                 starts.append(begins)
-            yield frame.assign(starts=starts)[["key", "id", "t", "starts"]]
+            yield frame.assign(t=frame["t"] / 1e6, starts=starts)[["key", "id", "t", "starts"]]
 
     return _folded(arrivals, key, at, tie, "key string, id bigint, t double, starts double", fold)

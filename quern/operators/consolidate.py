@@ -32,7 +32,10 @@ def richer(a, b):
         return merged(a, b)
     if isinstance(a, list) and isinstance(b, list):
         text = lambda x: json.dumps(x, separators=(",", ":")) if isinstance(x, (dict, list)) or x is None or isinstance(x, bool) else str(x)
-        return list({text(x): x for x in reversed([*a, *b])}.values())[::-1]
+        first: dict = {}
+        for x in [*a, *b]:
+            first.setdefault(text(x), x)
+        return list(first.values())
     if number(a) and number(b):
         return b if a == 0 < b else a if b == 0 < a else max(a, b)
     if isinstance(a, str) and isinstance(b, str):
