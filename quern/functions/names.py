@@ -62,16 +62,21 @@ def folded(text: Column) -> Column:
     return text
 
 
-def entity_name(name: Column, *, fold: bool = True) -> Column:
-    """The form in which names of organisations are compared. Null gives the empty string."""
+def entity_name(name: Column, *, fold: bool = True, unicode_words: bool = True) -> Column:
+    """The form in which names of organisations are compared. Null gives the empty string.
+
+    With unicode_words=False letters beyond ASCII that have no plain form count as punctuation, so that names of other
+    scripts become empty.
+    """
+    flag = "(?U)" if unicode_words else ""
     text = F.coalesce(name, F.lit(""))
     text = F.lower(folded(text) if fold else text)
     for pattern, plain in SPELLINGS:
-        text = F.regexp_replace(text, f"(?U){pattern}", plain)
-    text = F.regexp_replace(text, r"(?U)[\s,]+$", "")
-    text = F.regexp_replace(text, rf"(?U)\b({'|'.join(LEGAL_FORMS)})", " ")
-    text = F.regexp_replace(text, r"(?U)[^\w\s]", " ")
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+        text = F.regexp_replace(text, flag + pattern, plain)
+    text = F.regexp_replace(text, flag + r"[\s,]+$", "")
+    text = F.regexp_replace(text, rf"{flag}\b({'|'.join(LEGAL_FORMS)})", " ")
+    text = F.regexp_replace(text, flag + r"[^\w\s]", " ")
+    return F.trim(F.regexp_replace(text, flag + r"\s+", " "))
 
 
 def significant_words(normalized: Column) -> Column:

@@ -24,36 +24,40 @@ def _entity() -> Column:
     return F.struct("canonical_id", "canonical_name")
 
 
-def lookups(seed: DataFrame, *, prepared_aliases: bool = True, fold: bool = True) -> dict[str, DataFrame]:
+def lookups(seed: DataFrame, *, prepared_aliases: bool = True, unicode_words: bool = True) -> dict[str, DataFrame]:
     """For each tier a table of key and its entities (several make it ambiguous). Of equal names or domains the last id holds."""
     own = lambda key: seed.select(key.alias("key"), _entity().alias("e")).where("key != ''")
     last = lambda df: df.groupBy("key").agg(F.array(F.max("e")).alias("found"))
     every = lambda df: df.groupBy("key").agg(F.array_sort(F.collect_set("e")).alias("found"))
     aliases = seed.select(_entity().alias("e"), F.posexplode("verified_aliases").alias("place", "alias"))
-    normalized = aliases.select(entity_name(F.col("alias"), fold=fold).alias("key"), "e")
+    normalized = aliases.select(entity_name(F.col("alias"), unicode_words=unicode_words).alias("key"), "e")
     if prepared_aliases:
-        normalized = normalized.union(seed.select(_entity().alias("e"), F.explode("normalized_aliases").alias("alias")).select(entity_name(F.col("alias"), fold=fold).alias("key"), "e"))
-    words = seed.select(F.array_join(significant_words(entity_name(F.col("canonical_name"), fold=fold)), " ").alias("key"), _entity().alias("e"), F.lit(TIERS["words_of_name"]).alias("score"), F.lit(-1).alias("place"), F.col("canonical_name").alias("alias"))
-    words = words.union(aliases.select(F.array_join(significant_words(entity_name(F.col("alias"), fold=fold)), " ").alias("key"), "e", F.lit(TIERS["words_of_alias"]).alias("score"), "place", "alias")).where("key != ''")
+        normalized = normalized.union(seed.select(_entity().alias("e"), F.explode("normalized_aliases").alias("alias")).select(entity_name(F.col("alias"), unicode_words=unicode_words).alias("key"), "e"))
+    words = seed.select(F.array_join(significant_words(entity_name(F.col("canonical_name"), unicode_words=unicode_words)), " ").alias("key"), _entity().alias("e"), F.lit(TIERS["words_of_name"]).alias("score"), F.lit(-1).alias("place"), F.col("canonical_name").alias("alias"))
+    words = words.union(aliases.select(F.array_join(significant_words(entity_name(F.col("alias"), unicode_words=unicode_words)), " ").alias("key"), "e", F.lit(TIERS["words_of_alias"]).alias("score"), "place", "alias")).where("key != ''")
     best = words.groupBy("key", "e").agg(F.max_by(F.struct("score", "alias"), F.struct("score", -F.col("place"))).alias("b"))
     return {
         "domain": last(seed.select(F.explode("official_domains").alias("d"), _entity().alias("e")).select(domain(F.col("d")).alias("key"), "e").where("key != ''")),
         "name": last(own(F.lower(stripped(F.col("canonical_name"))))),
         "alias": every(aliases.select(F.lower(stripped(F.col("alias"))).alias("key"), "e")),
-        "normalized_name": last(own(entity_name(F.col("canonical_name"), fold=fold))),
+        "normalized_name": last(own(entity_name(F.col("canonical_name"), unicode_words=unicode_words))),
         "normalized_alias": every(normalized.where("key != ''")),
         "words": best.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("e", "b"))).alias("found")),
     }
 
 
-def resolve(records: DataFrame, seed: DataFrame, *, name: str = "raw_name", address: str = "domain", prepared_aliases: bool = True, fold: bool = True) -> DataFrame:
+def resolve(records: DataFrame, seed: DataFrame, *, name: str = "raw_name", address: str = "domain", prepared_aliases: bool = True, unicode_words: bool = True) -> DataFrame:
     """records with the columns normalized_entity_name, canonical_entity_id, canonical_entity_name, match_strategy, confidence,
-    aliases_used, domains_used, resolver_version and unresolved_reason."""
+    aliases_used, domains_used, resolver_version and unresolved_reason.
+
+    prepared_aliases=False leaves the seed's normalized aliases out and unicode_words=False compares ASCII words only: the
+    rules of the second resolver.
+    """
     raw, host = stripped(F.coalesce(F.col(name), F.lit(""))), domain(F.col(address))
-    df = records.withColumn("_raw_", raw).withColumn("_domain_", host).withColumn("_normal_", entity_name(F.col("_raw_"), fold=fold))
+    df = records.withColumn("_raw_", raw).withColumn("_domain_", host).withColumn("_normal_", entity_name(F.col("_raw_"), unicode_words=unicode_words))
     df = df.withColumn("_lower_", F.lower("_raw_")).withColumn("_words_", F.array_join(significant_words(F.col("_normal_")), " "))
     keys = {"domain": "_domain_", "name": "_lower_", "alias": "_lower_", "normalized_name": "_normal_", "normalized_alias": "_normal_", "words": "_words_"}
-    for tier, table in lookups(seed, prepared_aliases=prepared_aliases, fold=fold).items():
+    for tier, table in lookups(seed, prepared_aliases=prepared_aliases, unicode_words=unicode_words).items():
         df = df.join(broadcast_if_small(table.select(F.col("key").alias(f"_{tier}_key_"), F.col("found").alias(f"_{tier}_found_"))), F.col(keys[tier]) == F.col(f"_{tier}_key_"), "left")
 
     strings = lambda *xs: F.array(*xs).cast("array<string>")

@@ -61,6 +61,8 @@ def test_resolver_tiers(spark):
         assert (got[i].canonical_entity_id, got[i].match_strategy, got[i].confidence) == (cid, how, score), catalog.NAME_ROWS[i]
     assert got[0].domains_used == ["northwind.example"] and got[2].aliases_used == ["blue fin"] and got[10].aliases_used == ["Beta Works"]
     assert got[13].unresolved_reason == "EMPTY_INPUT" and got[11].unresolved_reason == "NO_MATCHING_ENTITY_FOUND" and "Bluefin AI" in got[3].unresolved_reason
+    second = {r.i: r for r in resolve(spark.createDataFrame(rows, "i int, raw_name string, domain string"), seed, prepared_aliases=False, unicode_words=False).collect()}
+    assert second[7].canonical_entity_id == "e5" and second[6].match_strategy == "UNRESOLVED" and second[5].canonical_entity_id == "e3"
     for word in ["AI", "Lab", "Systems", "Cloud"]:
         assert resolve(spark.createDataFrame([(word, None)], "raw_name string, domain string"), seed).collect()[0].match_strategy == "UNRESOLVED"
 
