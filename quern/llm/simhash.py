@@ -203,7 +203,7 @@ def plan(distinct: DataFrame) -> list[tuple[list[int], int, np.ndarray]]:
 
 def _spanning(fps: np.ndarray, stored: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the links between stored fingerprints and any fingerprint of the group."""
-    links, waiting = [], np.ones(len(fps), bool)
+    links, waiting, bits = [], np.ones(len(fps), bool), fps.view(np.uint64)  # bitwise_count() takes a signed number's absolute value
     for first in np.flatnonzero(stored).tolist():
         if not waiting[first]:
             continue
@@ -212,7 +212,7 @@ def _spanning(fps: np.ndarray, stored: np.ndarray) -> list[tuple[int, int]]:
         while frontier:
             x = frontier.pop()
             left = np.flatnonzero(waiting if stored[x] else waiting & stored)
-            near = left[np.bitwise_count(fps[left] ^ fps[x]) <= RADIUS]
+            near = left[np.bitwise_count(bits[left] ^ bits[x]) <= RADIUS]
             waiting[near] = False
             frontier += near.tolist()
             links += [(int(fps[x]), int(fps[y])) for y in near if fps[x] != fps[y]]
