@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.names import entity_name, significant_words
 from quern.functions.urls import domain, stripped
-from quern.operators.small import broadcast_if_small
+from quern.operators.small import MOST_ROWS
 
 VERSION = "1.0.0"
 SEED = "canonical_id string, canonical_name string, verified_aliases array<string>, normalized_aliases array<string>, official_domains array<string>"
@@ -56,9 +56,14 @@ def resolve(records: DataFrame, seed: DataFrame, *, name: str = "raw_name", addr
     raw, host = stripped(F.coalesce(F.col(name), F.lit(""))), domain(F.col(address))
     df = records.withColumn("_raw_", raw).withColumn("_domain_", host).withColumn("_normal_", entity_name(F.col("_raw_"), unicode_words=unicode_words))
     df = df.withColumn("_lower_", F.lower("_raw_")).withColumn("_words_", F.array_join(significant_words(F.col("_normal_")), " "))
+    # One look at the seed tells for all lookups whether they are small; then one partition spares their aggregates a shuffle.
+    keys_of = seed.agg(F.coalesce(F.sum(F.lit(2) + F.size("verified_aliases") + F.size("normalized_aliases") + F.size("official_domains")), F.lit(0)))
+    small = keys_of.collect()[0][0] <= MOST_ROWS
+    seed = seed.coalesce(1) if small else seed
+    hint = F.broadcast if small else lambda table: table
     keys = {"domain": "_domain_", "name": "_lower_", "alias": "_lower_", "normalized_name": "_normal_", "normalized_alias": "_normal_", "words": "_words_"}
     for tier, table in lookups(seed, prepared_aliases=prepared_aliases, unicode_words=unicode_words).items():
-        df = df.join(broadcast_if_small(table.select(F.col("key").alias(f"_{tier}_key_"), F.col("found").alias(f"_{tier}_found_"))), F.col(keys[tier]) == F.col(f"_{tier}_key_"), "left")
+        df = df.join(hint(table.select(F.col("key").alias(f"_{tier}_key_"), F.col("found").alias(f"_{tier}_found_"))), F.col(keys[tier]) == F.col(f"_{tier}_key_"), "left")
 
     strings = lambda *xs: F.array(*xs).cast("array<string>")
     none = F.lit(None).cast("string")
