@@ -26,22 +26,25 @@ def _entity() -> Column:
 
 def lookups(seed: DataFrame, *, prepared_aliases: bool = True, unicode_words: bool = True) -> dict[str, DataFrame]:
     """For each tier a table of key and its entities (several make it ambiguous). Of equal names or domains the last id holds."""
-    own = lambda key: seed.select(key.alias("key"), _entity().alias("e")).where("key != ''")
+    said = lambda kind, text, place: F.struct(F.lit(kind).alias("kind"), text.alias("text"), place.cast("int").alias("place"))
+    spellings = [F.array(said("name", F.col("canonical_name"), F.lit(-1))), F.transform("verified_aliases", lambda a, i: said("alias", a, i))]
+    if prepared_aliases:
+        spellings.append(F.transform("normalized_aliases", lambda a, i: said("prepared", a, i)))
+    names = seed.select(_entity().alias("e"), F.explode(F.concat(*spellings)).alias("s")).select("e", "s.*")
+    names = names.withColumn("low", F.lower(stripped(F.col("text")))).withColumn("normal", entity_name(F.col("text"), unicode_words=unicode_words))
+    words = names.where("kind != 'prepared'").withColumn("words", F.array_join(significant_words(F.col("normal")), " "))
+    score = F.when(F.col("kind") == "name", F.lit(TIERS["words_of_name"])).otherwise(F.lit(TIERS["words_of_alias"]))
+    best = words.where("words != ''").groupBy(F.col("words").alias("key"), "e").agg(F.max_by(F.struct(score.alias("score"), F.col("text").alias("alias")), F.struct(score, -F.col("place"))).alias("b"))
+    hosts = seed.select(_entity().alias("e"), F.explode("official_domains").alias("d")).select(domain(F.col("d")).alias("key"), "e").where("key != ''")
     last = lambda df: df.groupBy("key").agg(F.array(F.max("e")).alias("found"))
     every = lambda df: df.groupBy("key").agg(F.array_sort(F.collect_set("e")).alias("found"))
-    aliases = seed.select(_entity().alias("e"), F.posexplode("verified_aliases").alias("place", "alias"))
-    normalized = aliases.select(entity_name(F.col("alias"), unicode_words=unicode_words).alias("key"), "e")
-    if prepared_aliases:
-        normalized = normalized.union(seed.select(_entity().alias("e"), F.explode("normalized_aliases").alias("alias")).select(entity_name(F.col("alias"), unicode_words=unicode_words).alias("key"), "e"))
-    words = seed.select(F.array_join(significant_words(entity_name(F.col("canonical_name"), unicode_words=unicode_words)), " ").alias("key"), _entity().alias("e"), F.lit(TIERS["words_of_name"]).alias("score"), F.lit(-1).alias("place"), F.col("canonical_name").alias("alias"))
-    words = words.union(aliases.select(F.array_join(significant_words(entity_name(F.col("alias"), unicode_words=unicode_words)), " ").alias("key"), "e", F.lit(TIERS["words_of_alias"]).alias("score"), "place", "alias")).where("key != ''")
-    best = words.groupBy("key", "e").agg(F.max_by(F.struct("score", "alias"), F.struct("score", -F.col("place"))).alias("b"))
+    keyed = lambda key, *kinds: names.where(F.col("kind").isin(*kinds) & (F.col(key) != "")).select(F.col(key).alias("key"), "e")
     return {
-        "domain": last(seed.select(F.explode("official_domains").alias("d"), _entity().alias("e")).select(domain(F.col("d")).alias("key"), "e").where("key != ''")),
-        "name": last(own(F.lower(stripped(F.col("canonical_name"))))),
-        "alias": every(aliases.select(F.lower(stripped(F.col("alias"))).alias("key"), "e")),
-        "normalized_name": last(own(entity_name(F.col("canonical_name"), unicode_words=unicode_words))),
-        "normalized_alias": every(normalized.where("key != ''")),
+        "domain": last(hosts),
+        "name": last(keyed("low", "name")),
+        "alias": every(keyed("low", "alias")),
+        "normalized_name": last(keyed("normal", "name")),
+        "normalized_alias": every(keyed("normal", "alias", "prepared")),
         "words": best.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("e", "b"))).alias("found")),
     }
 
