@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import Arrays, byte_texts, new_folder, partitions, rows, slices, text_of
 
-#: Distinct units that a task gathers before it passes their words on, and units that a worker keeps at hand.
-GATHERED, AT_HAND = 500_000, 400_000
+#: Distinct units that a task gathers before it passes their words on, and pieces that a worker keeps at hand.
+GATHERED, AT_HAND = 200_000, 150_000
 WORDS = pa.schema([("part", pa.int32()), ("word", pa.binary())])
 DONE = pa.schema([("part", pa.int32()), ("words", pa.int64())])
 
@@ -51,13 +51,27 @@ def encoding(path: str, pattern: str):
 
 
 class Bytes:
-    """The token-byte table: id to bytes."""
+    """The token-byte table: all tokens' bytes in one array, and where each token's start and how many they are."""
 
     def __init__(self, path: str) -> None:
-        self.of = {i: b for b, i in ranks(path).items()}
+        of = {i: b for b, i in ranks(path).items()}
+        tokens = [of.get(i, b"") for i in range(max(of, default=-1) + 1)]
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode_all(self, rows_of_ids: list[bytes]) -> list[bytes]:
+        """The bytes of each row's ids, by one gather for all rows."""
+        ids = np.frombuffer(b"".join(rows_of_ids), "<u4")
+        size = self.size[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.start[ids] - ends[:-1], size) + np.arange(ends[-1])
+        out = self.data[at].tobytes()
+        cuts = ends[np.concatenate([[0], np.cumsum([len(x) // 4 for x in rows_of_ids])]).astype(np.int64)].tolist()
+        return [out[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decode_all([ids])[0]
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
@@ -122,45 +136,69 @@ class Words:
         return out
 
     def encode(self, texts: list[str], find) -> list[bytes]:
-        """The ids of each text. Units that aren't at hand are split into words, and these looked up, all at once."""
-        kept = _kept(self.arrays.uri)
-        split = [units(t) for t in texts]
-        got = [list(map(kept.get, us)) for us in split]
-        open_ = [k for k, found in enumerate(got) if None in found]
-        missing = list({u for k in open_ for u, v in zip(split[k], got[k], strict=True) if v is None})
-        if missing:
-            words = [find(u) for u in missing]
-            distinct = list(dict.fromkeys(itertools.chain.from_iterable(words)))
-            ids = dict(zip(distinct, self.look_up([w.encode() for w in distinct]), strict=True))
-            new = {u: b"".join(map(ids.__getitem__, w)) for u, w in zip(missing, words, strict=True)}
-            for k in open_:
-                got[k] = [new[u] if v is None else v for u, v in zip(split[k], got[k], strict=True)]
-            if len(kept) < AT_HAND:
-                kept |= new
-        return [b"".join(found) for found in got]
+        """The ids of each text. Pieces that aren't at hand are split into words, and these looked up, all at once."""
+        kept, once = _kept(self.arrays.uri)
+        heads, tails = [], []
+        for text in texts:
+            head, *tail = text.split(" ")
+            heads.append(head)
+            tails.append(tail)
+        missing = set(itertools.chain.from_iterable(tails)).difference(kept)
+        bad = {p for p in missing if opens_badly(p)}
+        missing -= bad
+        odd = {k: units(texts[k]) for k, (head, tail) in enumerate(zip(heads, tails, strict=True)) if tail and (opens_badly(head) or not bad.isdisjoint(tail))}
+        wanted = [*map(" ".__add__, missing), *set(heads).union(*odd.values())]
+        words = list(map(find, wanted))
+        distinct = list(dict.fromkeys(itertools.chain.from_iterable(words)))
+        ids = dict(zip(distinct, self.look_up([w.encode() for w in distinct]), strict=True))
+        new = {u: b"".join(map(ids.__getitem__, w)) for u, w in zip(wanted, words, strict=True)}
+        kept.update((p, new[" " + p]) for p in missing)
+        out = [
+            b"".join(map(new.__getitem__, odd[k])) if k in odd else b"".join([new[head], *map(kept.__getitem__, tail)])
+            for k, (head, tail) in enumerate(zip(heads, tails, strict=True))
+        ]
+        # A piece stays at hand if it was missing in an earlier slice too, so that rare ones don't fill the room.
+        stay = missing & once if len(kept) - len(missing) < AT_HAND else set()
+        for piece in missing - stay:
+            del kept[piece]
+        if len(once) > AT_HAND:
+            once.clear()
+        once |= missing
+        return out
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"open": {}}
 
 
 @functools.lru_cache(maxsize=1)
-def _kept(uri: str) -> dict[str, bytes]:
-    """The units that this worker has at hand; they outlive a task, but not the next table of words."""
-    return {}
+def _kept(uri: str) -> tuple[dict[str, bytes], set[str]]:
+    """The pieces that this worker has at hand, and those it missed once; they outlive a task, but not the table of words."""
+    return {}, set()
 
 
 _APART = regex.compile(r"(?<=\S)(?= \S)")
 
 
+def opens_badly(piece: str) -> bool:
+    """Whether a piece between spaces is empty or has white space at an end, so that no word need end there."""
+    return not piece or piece[0].isspace() or piece[-1].isspace()
+
+
 def units(text: str) -> list[str]:
     """The text cut before each lone space: a pre-token starts there, whatever stands before or behind.
 
     Few distinct units make up most of a corpus, so that the pattern has to run over each of these only.
     """
-    pieces = text.split(" ")
-    if any(not p or p[0].isspace() or p[-1].isspace() for p in set(pieces)):
-        return _APART.split(text) if text else []
-    return [pieces[0], *map(" ".__add__, pieces[1:])]
+    return _APART.split(text) if text else []
+
+
+def distinct_units(text: str, known: set[str]) -> set[str]:
+    """The text's units that aren't known; for most texts these are its pieces between spaces."""
+    first, *pieces = text.split(" ")
+    new = set(map(" ".__add__, set(pieces).difference(known)))
+    if any(opens_badly(u[1:]) for u in new) or pieces and opens_badly(first):
+        return set(units(text))
+    return new | {first}
 
 
 def build(texts: DataFrame, column: str, path: str, pattern: str) -> Words:
@@ -180,9 +218,9 @@ def build(texts: DataFrame, column: str, path: str, pattern: str) -> Words:
             done.clear()
 
         for batch in slices(batches, column):
-            own = set(itertools.chain.from_iterable(units(text or "") for text in batch.column(column).to_pylist())) - done
+            own = set().union(*(distinct_units(text or "", done) for text in batch.column(column).to_pylist()))
             seen.update(itertools.chain.from_iterable(map(find, own)))
-            done |= own
+            done.update(u[1:] for u in own if u[:1] == " " and not opens_badly(u[1:]))
             if len(done) > GATHERED:
                 yield from out()
         yield from out()
@@ -223,22 +261,26 @@ def bpe_decode(encoded: DataFrame, path: str, *, key: str = "doc_id", ids_column
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Bytes(path)
         for batch in slices(batches, ids_column):
-            yield rows(schema, **{key: batch.column(key), column: [table.decode(x) for x in byte_texts(batch.column(ids_column))]})
+            yield rows(schema, **{key: batch.column(key), column: table.decode_all(byte_texts(batch.column(ids_column)))})
 
     return text_of(encoded, key, ids_column).mapInArrow(decode, f"`{key}` bigint, `{column}` binary")
 
 
 def bpe_round_trip(docs: DataFrame, path: str, pattern: str, *, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and, from decoding those ids, decoded_sha256; the ids as array<int> if asked for."""
-    encoded = bpe_encode(docs, path, pattern)
+    """doc_id, n_tokens, ids_sha256 and, from decoding those ids, decoded_sha256; the ids as array<int> if asked for.
+
+    Encoding and decoding share one pass, so that ids needn't travel between two workers.
+    """
+    words = build(docs, "text", path, pattern)
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     schema = pa.schema([*fields, ("token_ids", pa.list_(pa.int32()))] if with_ids else fields)
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Bytes(path)
-        for batch in slices(batches, "ids"):
-            ids = byte_texts(batch.column("ids"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, table = regex.compile(pattern).findall, Bytes(path)
+        for batch in slices(batches, "text"):
+            ids = words.encode([t or "" for t in batch.column("text").to_pylist()], find)
             more = {"token_ids": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32), pa.array(np.frombuffer(b"".join(ids), "<i4")))} if with_ids else {}
-            yield rows(schema, doc_id=batch.column("doc_id"), n_tokens=[len(x) // 4 for x in ids], ids_sha256=[hashlib.sha256(x).hexdigest() for x in ids], decoded_sha256=[hashlib.sha256(table.decode(x)).hexdigest() for x in ids], **more)
+            yield rows(schema, doc_id=batch.column("doc_id"), n_tokens=[len(x) // 4 for x in ids], ids_sha256=[hashlib.sha256(x).hexdigest() for x in ids], decoded_sha256=[hashlib.sha256(x).hexdigest() for x in table.decode_all(ids)], **more)
 
-    return encoded.mapInArrow(digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids)
+    own = text_of(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    return own.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids)

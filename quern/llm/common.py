@@ -6,6 +6,8 @@ definition on UTF-8, as they know ASCII only.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import urllib.parse
@@ -47,6 +49,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one number that are sent to every executor; a table that was counted and has more is joined by shuffle.
+MOST_SENT = 500_000
+
+
+def counted(df: DataFrame, name: str) -> DataFrame:
+    """df, staged, with a broadcast hint if it has MOST_SENT rows or fewer."""
+    table = staged(df, name)
+    return F.broadcast(table) if table.count() <= MOST_SENT else table
+
+
 def text_of(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that others of any name neither clash nor are read."""
     return df.select(*(F.col(f"`{n}`") for n in names))
@@ -62,7 +74,14 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system: Python workers stay after a task, beside the JVM and its next stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a slice holds at most that many bytes of the column, or one row."""
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
@@ -71,6 +90,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             last = max(first + 1, int(np.searchsorted(ends, total + most, side="right")))
             yield batch.slice(first, last - first)
             first, total = last, int(ends[last - 1])
+        del batch, sizes, ends
+    give_back()
 
 
 class Arrays:

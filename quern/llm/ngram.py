@@ -41,6 +41,8 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens
 DDL = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 #: Keys that a task gathers before it packs them: repeats among them are never shuffled.
 GATHERED = 4_000_000
+#: Bytes of text that are looked up together: the more, the nearer neighbours are in the sorted arrays.
+SLICE = 4 << 20
 MODULUS = 10
 
 
@@ -223,7 +225,7 @@ def _packed(gather, part_of, column: str = "text"):
                 yield rows(BLOB, part=pa.array(parts[a : a + 1]), blob=[pack(keys[a:b], counts[a:b])])
             held.clear()
 
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, SLICE):
             keys, counts = added(gather(byte_texts(batch.column(column))))
             held.append((keys, counts))
             size += len(keys)
@@ -349,7 +351,7 @@ def score(docs: DataFrame, model: Model, modulus: int = MODULUS) -> DataFrame:
     """A row for each document: the base score and the model's log10 probability of its text."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids, sizes, counts = model.tokens(byte_texts(batch.column("text")))
             first = np.cumsum(sizes) - sizes
             base = np.log10((counts + 0.1) / (model.train_tokens + 0.1 * (model.distinct + 1)))

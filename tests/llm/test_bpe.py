@@ -3,7 +3,7 @@ import hashlib
 import public_tokenizers as P
 import tiktoken
 
-from quern.llm.bpe import Bytes, bpe_decode, bpe_encode, bpe_round_trip, ranks, units
+from quern.llm.bpe import Bytes, bpe_decode, bpe_encode, bpe_round_trip, distinct_units, ranks, units
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 
@@ -39,3 +39,4 @@ def test_units_split_into_the_words_of_the_text():
         text = "".join(rng.choices([" ", "  ", "\n", "a", "bc", "'s", "1", ".", "é", "\x1c", "\x85", "\xa0", "日"], k=rng.randrange(12)))
         assert "".join(units(text)) == text
         assert [w for u in units(text) for w in find(u)] == find(text), ascii(text)
+        assert {w for u in distinct_units(text, set()) for w in find(u)} == set(find(text)), ascii(text)
