@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import GAP, staged, text_of
+from quern.llm.common import GAP, counted, staged, text_of
 
 SHINGLE, SIMILARITY, BITS, RADIUS = 5, 0.8, 64, 20
 BROADCAST_ROWS = 500_000
@@ -123,5 +123,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that no item contaminates; rows that have no doc_id are looked up by text."""
-    found = contaminated(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), benchmark).select("doc_id").distinct()
-    return docs.join(found.withColumnRenamed("doc_id", "_contaminated_"), F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_contaminated_"), "left_anti")
+    found = contaminated(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), benchmark)
+    leaks = counted(found.select(F.col("doc_id").alias("_leak_")).distinct(), "leaks")
+    return docs.join(leaks, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_leak_"), "left_anti")

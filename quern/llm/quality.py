@@ -44,7 +44,7 @@ RANGES = {
 }
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: Words whose tokens a worker keeps at hand.
-AT_HAND = 400_000
+AT_HAND = 150_000
 SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()),

@@ -35,7 +35,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import byte_texts, partitions, rows, slices, staged, text_of
+from quern.llm.common import byte_texts, counted, partitions, rows, slices, staged, text_of
 
 BITS, RADIUS, SHINGLE, SEED = 64, 4, 4, 42
 #: Numbers of partitions that are weighed against each other; their widths stay at 16 bits or below.
@@ -311,8 +311,13 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, whose doc_id is the least of its component; one row of each doc_id.
 
-    Rows without a doc_id can't be told apart, so they all stay.
+    Rows without a doc_id can't be told apart, so they all stay. Only ids that go or repeat are joined with the texts, so that
+    texts are shuffled only where there are very many of those.
     """
-    first = simhash_classes(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    by_id = simhash_classes(docs).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id_")).agg(F.min(F.col("doc_id") == F.col("component_id")).alias("_stays_"), (F.count("*") > 1).alias("_again_"))
+    listed = counted(by_id.where("NOT _stays_ OR _again_"), "listed")
+    joined = docs.join(listed, docs["doc_id"] == F.col("_id_"), "left").where("coalesce(_stays_, true)")
+    if listed.where("_again_").isEmpty():
+        return joined.select(docs.columns)
+    once = joined.where("_again_").dropDuplicates(["doc_id"])
+    return joined.where("NOT coalesce(_again_, false)").select(docs.columns).union(once.select(docs.columns))

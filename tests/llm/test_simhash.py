@@ -102,3 +102,13 @@ def test_keep_one(spark, odd_docs):
     firsts = {r.component_id for r in simhash_dedup(odd_docs).collect() if r.doc_id is not None}
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted(firsts) and ids.count(None) == 2
+
+
+def test_keep_one_without_repeats_and_by_shuffle(spark, monkeypatch):
+    from quern.llm import common
+
+    docs = spark.createDataFrame(list(enumerate(near_copies(5))), "doc_id bigint, text string")
+    firsts = sorted({r.component_id for r in simhash_dedup(docs).collect()})
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) == firsts
+    monkeypatch.setattr(common, "MOST_SENT", 0)
+    assert sorted(r.doc_id for r in keep_one(docs.union(docs)).collect()) == firsts
