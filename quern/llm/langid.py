@@ -16,6 +16,7 @@ same result; the empty table gives an empty result. lang is read for training on
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -95,14 +96,32 @@ class Filters:
         return self.langs[best], float(x[best] / x.sum()) if x.sum() > 0 else 0.0
 
 
+def _last_of_sample(named: DataFrame, prior: dict[str, int], sample: int) -> dict[str, tuple[int, int]]:
+    """Rank and doc_id of the last row of each language's sample.
+
+    crc32 is even over its range, so a share of it that holds about twice the sample is ranked, and a larger one if that
+    proves too small. A language with very many rows is thus never ranked as a whole.
+    """
+    ids = named.where("doc_id IS NOT NULL").select("lang", "doc_id", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("rank"))
+    share, found = 2.0, {}
+    while True:
+        limits = {x: (1 << 32) * min(1.0, share * sample / n) for x, n in prior.items()}
+        within = functools.reduce(lambda c, x: c.when(F.col("lang") == x[0], F.col("rank") < F.lit(x[1])), limits.items(), F.when(F.lit(False), F.lit(False)))
+        order = Window.partitionBy("lang").orderBy("rank", "doc_id")
+        ranked = ids.where(within).withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
+        rows_of = ranked.groupBy("lang").agg(F.max(F.struct("rank", "doc_id")).alias("last"), F.count("*").alias("n")).collect()
+        found = {r.lang: (r.last.rank, r.last.doc_id) for r in rows_of}
+        enough = {r.lang for r in rows_of if r.n >= sample}
+        if all(x in enough or limit >= 1 << 32 for x, limit in limits.items()):
+            return found
+        share *= 8
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
     """Filters from at most that many labelled rows of each language, those of the smallest crc32(doc_id)."""
     named = text_of(docs, "doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL").where(remainder(F.col("doc_id"), 5) != 0)
     prior = {r[0]: r[1] for r in named.groupBy("lang").count().collect()}
-    order = Window.partitionBy("lang").orderBy("rank", "doc_id")
-    ids = named.select("lang", "doc_id", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("rank"))
-    bound = ids.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).groupBy("lang").agg(F.max(F.struct("rank", "doc_id")).alias("last"))
-    last = {r.lang: (r.last.rank, r.last.doc_id) for r in bound.collect()}
+    last = _last_of_sample(named, prior, sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, int], list[np.ndarray]] = {}
