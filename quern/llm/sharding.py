@@ -1,9 +1,9 @@
 """Sharding: the minimax contiguous partition of the corpus into shards of nearly equal bytes.
 
-Equal texts form an atomic group. Groups are ordered by the XXH64 of their text, so a group's shard follows from 39
-cut keys and no row has to be sorted. The smallest feasible capacity is found by binary search; a capacity is feasible
+Equal texts form an atomic group. Groups are ordered by the XXH64 of their text, but for those larger than an even
+share (fewer than shards), which come first; so a group's shard follows from 39 cut keys, and no row has to be sorted. The smallest feasible capacity is found by binary search; a capacity is feasible
 if filling shards greedily in order needs no more than the number of shards. Cuts are then made at that capacity, each
-as near to its even place as the capacity allows.
+as near to an even share of what is left as the capacity allows.
 
 The driver never holds all group sizes. It holds sums over blocks of consecutive keys, BLOCKS at most whatever the
 input's size. The bounds of the search and the sums tell which few blocks any cut can fall in, and only those
@@ -18,6 +18,7 @@ table gives an empty result. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import functools
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import rows, staged, text_of
 
-SHARDS, OVERHEAD, BLOCKS = 40, 16, 1 << 17
+SHARDS, OVERHEAD, BLOCKS, LEAST = 40, 16, 1 << 17, -(1 << 63)
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("text_crc32", pa.int64()), ("shard", pa.int32()), ("part", pa.int32()), ("rank", pa.int64())])
 
 
@@ -104,6 +105,13 @@ def minimax_cuts(prefix: Prefix, largest: int, fetch, shards: int = SHARDS) -> t
             fetch({prefix.block(position)})
             return prefix.down(position)
 
+    def up(position: int) -> int:
+        try:
+            return prefix.up(position)
+        except KeyError:
+            fetch({prefix.block(position - 1)})
+            return prefix.up(position)
+
     def coarse(capacity: int) -> bool | None:
         """Whether it is feasible, as far as block sums tell: cuts lie between two bounds that drift apart."""
         low = high = 0
@@ -133,7 +141,8 @@ def minimax_cuts(prefix: Prefix, largest: int, fetch, shards: int = SHARDS) -> t
         wanted |= needed(prefix, at + least, far + most)
         at, far = int(prefix.before[prefix.block(min(total - 1, at + least))]) if total else 0, min(total, far + most)
     for k in range(1, shards):  # the even places, and what the floors below look at
-        wanted |= needed(prefix, k * total // shards, k * total // shards) | needed(prefix, total - k * most - 1, total - k * least)
+        even, around = k * total // shards, min(largest, total // shards // 4)
+        wanted |= needed(prefix, even - around, even + around) | needed(prefix, total - k * most - 1, total - k * least)
     if wanted:
         fetch(wanted)
     while least < most:
@@ -142,16 +151,16 @@ def minimax_cuts(prefix: Prefix, largest: int, fetch, shards: int = SHARDS) -> t
     # The last places that still leave room for the rest, from the end; then each cut as even as these allow.
     floor = [total]
     for _ in range(shards - 1):
-        need = floor[-1] - least
-        if need > 0 and prefix.block(need - 1) not in prefix.inside:
-            fetch({prefix.block(need - 1)})
-        floor.append(prefix.up(need))
+        floor.append(up(floor[-1] - least))
     floor = floor[::-1]
+    # What is left is shared evenly among the shards that are left: a group larger than that has one of its own.
     ends = [0]
     for k in range(1, shards):
-        most_here = down(ends[-1] + least)
-        even = down(max(ends[-1], k * total // shards))
-        ends.append(min(most_here, max(even, floor[k - 1], ends[-1])))
+        at = ends[-1]
+        target = at + (total - at) // (shards - k + 1)
+        low, high = down(target), up(min(total, target))
+        even = high if low <= at or high - target < target - low else low
+        ends.append(max(at, min(down(at + least), max(even, floor[k - 1]))))
     return least, [*ends[1:], total]
 
 
@@ -159,13 +168,17 @@ def group_sizes(rows_of: DataFrame) -> DataFrame:
     return rows_of.groupBy("key").agg(F.sum("size").alias("size"))
 
 
-def cut_keys(rows_of: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) -> tuple[int, list[int]]:
-    """The capacity, and the first key of each shard but the first; rows_of has key and size."""
+def cut_keys(rows_of: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) -> tuple[int, list[int], list[int]]:
+    """The capacity, the first key of each shard but the first, and the keys that stand ahead of all others (the first is
+    taken for the least integer, and so on); rows_of has key and size."""
     spark = rows_of.sparkSession
     groups = staged(group_sizes(rows_of), "groups")
     n, total, largest = groups.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).collect()[0]
     if not n:
-        return 0, []
+        return 0, [], []
+    ahead = [r.key for r in groups.where(F.col("size") * shards > total).orderBy(F.desc("size"), "key").collect()]  # fewer than shards
+    moved = functools.reduce(lambda c, x: c.when(F.col("key") == x[1], F.lit(LEAST + x[0])), enumerate(ahead), F.when(F.lit(False), F.col("key")))
+    groups = groups.select(moved.otherwise(F.col("key")).alias("key"), "size")
     # A block takes keys of one span of the hash; as XXH64 is even, the largest block is near the mean.
     bits = 64 if n <= blocks else max(1, blocks.bit_length() - 1)
     block = F.col("key") if bits == 64 else F.shiftright("key", 64 - bits)
@@ -180,7 +193,7 @@ def cut_keys(rows_of: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) ->
             prefix.load(int(np.searchsorted(names, name)), part["key"].to_numpy(), part["size"].to_numpy())
 
     capacity, ends = minimax_cuts(prefix, int(largest), fetch, shards)
-    return capacity, [k if (k := prefix.key_at(end)) is not None else 2**63 - 1 for end in ends[:-1]]
+    return capacity, [k if (k := prefix.key_at(end)) is not None else 2**63 - 1 for end in ends[:-1]], ahead
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) -> DataFrame:
@@ -191,7 +204,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS)
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("key"),
     )
     own = staged(own, "sizes")
-    _, cuts = cut_keys(own.select("key", "size"), shards, blocks)
+    _, cuts, ahead = cut_keys(own.select("key", "size"), shards, blocks)
     starts = np.array(cuts, np.int64)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +212,10 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS)
 
         part, seen = TaskContext.get().partitionId(), np.zeros(shards, np.int64)
         for batch in batches:
-            shard = np.searchsorted(starts, batch.column("key").to_numpy(), side="right")
+            key = batch.column("key").to_numpy()
+            for i, k in enumerate(ahead):
+                key = np.where(key == k, LEAST + i, key)
+            shard = np.searchsorted(starts, key, side="right")
             order = np.argsort(shard, kind="stable")
             here = np.bincount(shard, minlength=shards)
             rank = np.empty(len(shard), np.int64)

@@ -38,7 +38,9 @@ def test_minimax_equals_brute_force(per_block, seed):
     assert capacity == best and len(ends) == shards and ends[-1] == sizes.sum()
     assert sums.max() <= best and sums.min() >= 0
     assert set(ends) <= {0, *np.cumsum(sizes).tolist()}
-    assert len(asked) <= 6
+    assert len(asked) <= 90  # a few where groups are small; one more for each cut that a large group moves
+    if n >= 4 * shards and sizes.max() * 4 * shards < sizes.sum():
+        assert sums.min() > 0.6 * sizes.sum() / shards
 
 
 @pytest.mark.parametrize("blocks", [4, 1 << 17])
