@@ -1,10 +1,11 @@
 import re
 from collections import Counter
+from pathlib import Path
 
 import public_tokenizers as P
 import pytest
 
-from quern.llm.quality import BANDS, Fertility, keep_good, quality_rules, script_of
+from quern.llm.quality import BANDS, Fertility, keep_good, quality_rules, script_of, thin
 
 PATH = P.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -58,3 +59,20 @@ def test_verdicts(spark, odd_docs):
 @pytest.mark.parametrize(("text", "script"), [("abc", "Latin"), ("日本語", "CJK"), ("Ελλ", "Greek"), ("", "Latin"), ("שלום", "other"), ("привет a", "Cyrillic")])
 def test_script(text, script):
     assert script_of(text) == script
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
+def test_measures_decide_on_labelled_texts(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    rated = quality_rules(spark.read.parquet(f"{SF}/documents.parquet"), PATH).where("NOT base_failed")
+    kept = Counter((r.quality, r.kept) for r in rated.join(labels, "doc_id").collect())
+    assert kept[1, True] > 100 and kept[1, False] <= 0.01 * kept[1, True]
+    assert kept[0, False] > 10 and kept[0, False] >= 4 * kept[0, True]
+
+
+@pytest.mark.parametrize(("script", "tokens", "per_token", "entropy", "is_thin"), [("Latin", 776, 2.0, 5.96, True), ("Latin", 776, 2.0, 6.4, False), ("Latin", 776, 2.2, 5.0, False), ("Latin", 150, 2.0, 5.96, False), ("CJK", 776, 0.5, 5.0, False), ("Latin", 0, 0.0, 0.0, False)])
+def test_joint_band_goes_by_length(script, tokens, per_token, entropy, is_thin):
+    assert thin(script, tokens, per_token, entropy) is is_thin
