@@ -5,8 +5,9 @@ access key id of at least 20 characters) and ``hex`` (24 hex digits or more), ea
 
 The entropy scan takes candidate strings of at least WINDOW characters. For each character class it slides a window
 over the candidate's runs of that class, keeps the counts of the characters in the window as it moves, and so the
-entropy, in constant time a step. Windows at or above the class's threshold that no base span overlaps make the
-candidate, up to the nearest base spans, a span of kind ``entropy``, as half a secret left in a text is still a leak.
+entropy, in constant time a step. Windows at or above the class's threshold that no base span overlaps, each looked at by
+itself, make the candidate, up to the nearest base spans, a span of kind ``entropy``, as half a secret left in a text
+is still a leak.
 A candidate that the allow-list knows is left alone. Spans count code points, the end is exclusive.
 
 Null texts count as empty and have no spans. Repeated rows each get the same result. The empty table gives an empty
@@ -18,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -55,13 +56,14 @@ DDL = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha25
 _CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
-def random_windows(text: str, least: float) -> Iterator[tuple[int, int]]:
-    """Windows of text, joined where they overlap, whose characters have at least that entropy.
+def random_windows(text: str, least: float, bars: Sequence[tuple[int, int]] = ()) -> Iterator[tuple[int, int]]:
+    """Windows of text, joined where they overlap, whose characters have at least that entropy; none that overlaps a bar.
 
+    Bars are in order and don't overlap each other.
     Entropy of a window of w characters is log2 w - sum(c log2 c) / w; the sum changes by two terms a step.
     """
     counts: dict[str, int] = {}
-    total, most, begun, end = 0.0, (math.log2(WINDOW) - least) * WINDOW + 1e-9, -1, -1
+    total, most, begun, end, bar = 0.0, (math.log2(WINDOW) - least) * WINDOW + 1e-9, -1, -1, 0
     for i, new in enumerate(text):
         c = counts.get(new, 0)
         counts[new] = c + 1
@@ -75,6 +77,10 @@ def random_windows(text: str, least: float) -> Iterator[tuple[int, int]]:
             total += _CLOG[c + 1] - _CLOG[c]
         if i >= WINDOW - 1 and total <= most:
             first = i - WINDOW + 1
+            while bar < len(bars) and bars[bar][1] <= first:
+                bar += 1
+            if bar < len(bars) and bars[bar][0] <= i:
+                continue
             if begun >= 0 and first > end:
                 yield begun, end
                 begun = -1
@@ -85,20 +91,36 @@ def random_windows(text: str, least: float) -> Iterator[tuple[int, int]]:
         yield begun, end
 
 
+def merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The stretches that the spans cover, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for a, b, _ in spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def scan(text: str) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) by start and then by kind as listed."""
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     found += [(m.start(), m.end(), "hex") for m in LONG_HEX.finditer(text)]
     base = list(found)
+    bars = merged(base)
     for m in CANDIDATE.finditer(text):
         if any(p.fullmatch(m[0]) for p in ALLOWED):
             continue
-        hits = {(a + run.start() + m.start(), b + run.start() + m.start()) for pattern, least in CLASSES.values() for run in pattern.finditer(m[0]) for a, b in random_windows(run[0], least)}
+        hits = set()
+        near = [(x - m.start(), y - m.start()) for x, y in bars if x < m.end() and m.start() < y]
+        for pattern, least in CLASSES.values():
+            for run in pattern.finditer(m[0]):
+                own = [(x - run.start(), y - run.start()) for x, y in near]
+                hits |= {(a + run.start() + m.start(), b + run.start() + m.start()) for a, b in random_windows(run[0], least, own)}
         found += {
             (max([m.start(), *(y for _, y, _ in base if y <= a)]), min([m.end(), *(x for x, _, _ in base if x >= b)]), "entropy")
             for a, b in hits
-            if not any(x < b and a < y for x, y, _ in base)
         }
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
