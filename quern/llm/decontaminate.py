@@ -4,10 +4,12 @@ An item contaminates a document if some window of the document with as many word
 similarity of SIMILARITY or more with it: over shingles of five words in lower case, each weighted by how often it
 occurs, the sum of the smaller weights over the sum of the larger.
 
-1. Windows. Two texts this similar share a shingle, so each shingle of a document that is one of an item's places a
-   window: its start is the shingle's position less its offset in the item, moved into the document where it
-   sticks out; a document shorter than the item is one window. Other windows share nothing and can't reach the
-   similarity.
+1. Windows. With m shingles in the item and as many in the window, a similarity of 0.8 takes 8 m / 9 shared ones or
+   more. So a window goes on if at least so many of its shingles are some item's of that length, in whatever order
+   they stand; others can't reach the similarity. A document shorter than the item is one window. A window is in place
+   if it starts at a shared shingle's position less its offset in the item, moved into the document where it sticks
+   out. A passage found in place also shows in windows a few words off; these count only for pairs of document and
+   item that have no window in place, such as items whose parts were reordered.
 2. Fingerprints. Each window's and each item's 64-bit SimHash is the majority of each bit over its shingles' hashes.
 3. Candidates. The fingerprint is cut into RADIUS + 1 blocks. Fingerprints within RADIUS bits agree in one block at
    least, so a join on (words of the item, block, value) misses none of them; their distance is then counted. At a
@@ -17,8 +19,8 @@ occurs, the sum of the smaller weights over the sum of the larger.
 
 Items are the small side, and are broadcast only where their shingles, counted first, are BROADCAST_ROWS or fewer; beyond
 that Spark joins by shuffling. A shingle that very many documents hold is a hot key of the documents' side only; each
-task drops repeated windows before it shuffles. The texts are read a second time for those documents that have a
-window, which come by a join on document and text hash.
+task gathers a document's positions before it shuffles. The texts are read a second time for those documents that have a
+window: their text hashes, counted first, are broadcast like the items, so that only those texts are shuffled.
 
 Items with fewer than five words are one shingle of all their words; documents then have shingles of that many words
 too. Null texts and texts without words hold nothing, as items and as documents. A null doc_id is a document of its own text.
@@ -70,8 +72,30 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return found.select("item_id", "n", "k", "shingles", fingerprint(F.col("shingles")).alias("fp"))
 
 
+def window_starts(at: Column, n: Column, k: int, n_words: Column) -> Column:
+    """Starts of the windows of n words that hold enough shared shingles of k words to reach SIMILARITY.
+
+    at has the sorted, distinct positions of shared shingles. Any `need` of them in a row fit into the windows from the
+    last's position less the window's reach to the first's position; what the range before has is left out.
+    """
+    reach, last = n - F.lit(k), F.greatest(F.lit(0), n_words - n)
+    shingles_of_both = F.least(n, n_words) - F.lit(k - 1) + reach + F.lit(1)
+    need = F.ceil(shingles_of_both * (SIMILARITY / (1 + SIMILARITY)) - 1e-9).cast("int")
+
+    def span(i: Column) -> Column:
+        low = F.greatest(F.lit(0), F.element_at(at, i + need - F.lit(1)) - reach)
+        low = F.when(i > 1, F.greatest(low, F.least(F.element_at(at, F.greatest(i - F.lit(1), F.lit(1))), last) + F.lit(1))).otherwise(low)
+        high = F.least(F.element_at(at, i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(F.size(at) >= need, F.flatten(F.transform(F.sequence(F.lit(1), F.size(at) - need + F.lit(1)), span))).otherwise(F.array().cast("array<int>"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, similarity (the greatest of a window), first (the first such window's first word, from 0) and n_windows."""
+    """doc_id, item_id, similarity (the greatest of a window), first (the first such window's first word, from 0) and n_windows.
+
+    The last three are of the pair's windows in place if one of them reaches the similarity, and else of all its windows.
+    """
     items = staged(items_of(benchmark), "items")
     ks = sorted(r.k for r in items.select("k").distinct().collect())  # five at most
     placed = items.select("k", "n", F.posexplode("shingles").alias("offset", "h")).distinct()
@@ -87,20 +111,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         own = hashed.select("doc_id", "text_hash", F.size("words").alias("n_words"), F.posexplode(shingles(F.col("words"), k)).alias("position", "h"))
         hit = own.join(hint(placed.where(F.col("k") == k).drop("k")), "h")
         start = F.greatest(F.lit(0), F.least(F.col("position") - F.col("offset"), F.col("n_words") - F.col("n")))
-        found = hit.select("doc_id", "text_hash", F.lit(k).alias("k"), F.col("n"), start.alias("first")).distinct()
+        shared = hit.groupBy("doc_id", "text_hash", "n", "n_words").agg(F.sort_array(F.collect_set("position")).alias("at"), F.collect_set(start).alias("in_place"))
+        starts = shared.select("doc_id", "text_hash", "n", "in_place", window_starts(F.col("at"), F.col("n"), k, F.col("n_words")).alias("starts"))
+        kinds = [
+            F.transform(F.array_intersect("starts", "in_place"), lambda x: F.struct(x.alias("first"), F.lit(True).alias("in_place"))),
+            F.transform(F.array_except("starts", "in_place"), lambda x: F.struct(x.alias("first"), F.lit(False).alias("in_place"))),
+        ]
+        found = starts.where(F.size("starts") > 0).select("doc_id", "text_hash", F.lit(k).alias("k"), "n", F.inline(F.concat(*kinds)))
         windows = found if windows is None else windows.union(found)
     windows = staged(windows, "windows")
 
     # The shingles of each window, from the texts of the documents that have one.
-    of = windows.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("k", "n", "first")).alias("windows"))
-    same = named["doc_id"].eqNullSafe(of["doc_id"]) & (named["text_hash"] == of["text_hash"])
-    again = named.join(of, same).select(named["doc_id"], named["text_hash"], "windows", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
+    of = windows.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("k", "n", "first", "in_place")).alias("windows"))
+    hashes = counted(windows.select(F.col("text_hash").alias("_hash_")).distinct(), "hashes")
+    theirs = named.join(hashes, named["text_hash"] == F.col("_hash_"), "left_semi")
+    same = theirs["doc_id"].eqNullSafe(of["doc_id"]) & (theirs["text_hash"] == of["text_hash"])
+    again = theirs.join(of, same).select(theirs["doc_id"], theirs["text_hash"], "windows", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
     sliced = again.select("doc_id", "text_hash", "words", F.explode("windows").alias("w")).select(
-        "doc_id", "text_hash", "w.k", "w.n", "w.first", F.slice("words", F.col("w.first") + 1, F.col("w.n")).alias("own")
+        "doc_id", "text_hash", "w.k", "w.n", "w.first", "w.in_place", F.slice("words", F.col("w.first") + 1, F.col("w.n")).alias("own")
     )
     by_k = F.coalesce(*(F.when(F.col("k") == k, shingles(F.col("own"), k)) for k in ks))
     # Windows of equal words are one class: the work below is done once for each.
-    classes = sliced.select("doc_id", "text_hash", "k", "n", "first", by_k.alias("shingles")).where(F.size("shingles") > 0)
+    classes = sliced.select("doc_id", "text_hash", "k", "n", "first", "in_place", by_k.alias("shingles")).where(F.size("shingles") > 0)
     classes = staged(classes.withColumn("class", F.xxhash64("n", "shingles")), "classes")
     distinct = staged(classes.groupBy("class", "n").agg(F.first("shingles").alias("shingles")).withColumn("fp", fingerprint(F.col("shingles"))), "prints")
 
@@ -116,9 +148,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rated = shared.withColumn("similarity", F.col("both") / (F.col("size") + F.col("item_size") - F.col("both"))).where(F.col("similarity") >= SIMILARITY)
     verified = staged(rated.join(pairs, ["class", "item_id"], "left_semi").select("class", "item_id", "similarity"), "verified")
 
-    return classes.join(verified, "class").groupBy("doc_id", "item_id").agg(
+    found = classes.join(verified, "class").groupBy("doc_id", "item_id", "in_place", "first").agg(F.max("similarity").alias("similarity"))
+    by_kind = found.groupBy("doc_id", "item_id", "in_place").agg(
         F.max("similarity").alias("similarity"), F.min_by("first", F.struct(-F.col("similarity"), F.col("first"))).alias("first"), F.countDistinct("first").alias("n_windows")
     )
+    return by_kind.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("similarity", "first", "n_windows"), "in_place").alias("w")).select("doc_id", "item_id", "w.*")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

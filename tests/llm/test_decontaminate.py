@@ -105,3 +105,40 @@ def test_radius_is_above_what_similar_texts_show(spark):
         rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
     fps = {r.item_id: r.fp & (2**64 - 1) for r in items_of(spark.createDataFrame(rows, "item_id bigint, text string")).collect()}
     assert max((fps[2 * i] ^ fps[2 * i + 1]).bit_count() for i in range(400)) <= RADIUS
+
+
+def every_window(docs, items):
+    """Pairs of document and item of which any window of the item's words reaches the similarity, and the greatest."""
+    out = {}
+    for d, text in docs:
+        w = WORD.findall((text or "").lower())
+        for i, item in items:
+            v = WORD.findall((item or "").lower())
+            k, n = min(5, len(v)), len(v)
+            theirs = Counter(shingles(v, k)) if v else Counter()
+            for first in range(max(0, len(w) - n) + 1) if v else ():
+                ours = Counter(shingles(w[first : first + n], k))
+                both = sum((ours & theirs).values())
+                similarity = both / (sum(ours.values()) + sum(theirs.values()) - both)
+                if similarity >= SIMILARITY:
+                    out[d, i] = max(similarity, out.get((d, i), 0))
+    return out
+
+
+def test_pairs_are_those_of_every_window(spark):
+    docs, items = corpus(7)
+    items += [(40 + j, " ".join(f"w{j}x{x}" for x in range(n))) for j, n in enumerate((44, 50, 59))]
+    pasted = []
+    for i, item in items[-3:]:
+        v = item.split()
+        pasted.append((300 + i, " ".join(["before"] * 20 + v[len(v) // 2 :] + v[: len(v) // 2] + ["after"] * 20)))
+        pasted.append((400 + i, " ".join(v[len(v) // 2 :] + v[: len(v) // 2])))
+        pasted.append((500 + i, " ".join(v[len(v) // 3 :] + ["between"] * 9 + v[: len(v) // 3])))  # not similar enough
+    docs = [*((d, t) for d, t in docs if d is not None and d != 200), *pasted]
+    ds, bs = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    expected = every_window(docs, items)
+    found = {(r.doc_id, r.item_id): r for r in contaminated(ds, bs).collect()}
+    assert set(found) == set(expected) and {(d, i) for d, i in expected if d >= 300} == {(d + i, i) for d in (300, 400) for i in (40, 41, 42)}
+    assert brute([x for x in pasted if x[0] < 400], items) == []  # no window in place shows them
+    assert all(found[x].similarity == pytest.approx(expected[x]) for x in expected if x[0] >= 300)
+    assert {r.doc_id for r in keep_clean(ds, bs).collect()} == {d for d, _ in docs} - {d for d, _ in expected}
