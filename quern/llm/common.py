@@ -26,11 +26,13 @@ GAP = r"[ \t\n\x0B\f\r]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is the session's ``spark.checkpoint.dir``. Where that is unset, as in local tests, a temporary folder is
-    made and set.
+    It is the session's ``spark.checkpoint.dir``. Where that is unset, as in tests, a local session makes and sets a
+    temporary folder; a cluster, whose executors couldn't see it, gets an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quern-")
         spark.sparkContext.setCheckpointDir(found)
     elif not spark.sparkContext.getCheckpointDir():
@@ -59,6 +61,28 @@ def counted(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(table) if table.count() <= MOST_SENT else table
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, rows: Column, total: int) -> DataFrame:
+    """left joined with right by key, which is unique in right and which all of left's rows find; rows counts left's rows of a
+    key and total all of them.
+
+    Keys with more than a fourth of an even part are few, four times the number of parts at most. They are broadcast, so that
+    their rows stay where they are; all others are joined as Spark sees fit. left and right are read twice: stage them.
+    """
+    hot = rows * F.lit(4 * partitions(left.sparkSession)) > F.lit(total)
+    few = right.where(hot)
+    here = left.join(F.broadcast(few), key)
+    there = left.join(F.broadcast(few.select(key)), key, "left_anti").join(right.where(~hot), key)
+    return here.unionByName(there)
+
+
 def text_of(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that others of any name neither clash nor are read."""
     return df.select(*(F.col(f"`{n}`") for n in names))
@@ -98,13 +122,12 @@ class Arrays:
     """numpy arrays as files of a folder that all executors share.
 
     A file is written under a name of its own and then moved, so a repeated or lost task leaves either nothing or
-    the same whole file. Readers map files into memory; where the folder is in a store without such files, each
-    Python worker first copies the file that it needs to its own temporary folder.
+    the same whole file. Readers map files into memory; where the folder is in a store without such files, the first
+    worker of a machine that needs a file copies it to the machine's temporary folder, and the others map that copy.
     """
 
     def __init__(self, uri: str) -> None:
         self.uri = uri
-        self._local: str | None = None
 
     def _path(self) -> str | None:
         parsed = urllib.parse.urlsplit(self.uri)
@@ -134,16 +157,14 @@ class Arrays:
         from pyarrow import fs
 
         store, path = fs.FileSystem.from_uri(self.uri)
-        self._local = self._local or tempfile.mkdtemp(prefix="quern-")
-        to = f"{self._local}/{name}.npy"
+        local = f"{tempfile.gettempdir()}/{self.uri.rpartition('/')[2]}"  # a folder's name is its own
+        to, own = f"{local}/{name}.npy", f"{local}/{name}.{uuid.uuid4().hex}.tmp"
         if not os.path.exists(to):
-            fs.copy_files(f"{path}/{name}.npy", f"{to}.part", source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
-            os.replace(f"{to}.part", to)
+            os.makedirs(local, exist_ok=True)
+            fs.copy_files(f"{path}/{name}.npy", own, source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
+            os.replace(own, to)
         return np.asarray(np.load(to, mmap_mode="r"))
 
-    def __getstate__(self) -> dict:
-        return {"uri": self.uri, "_local": None}
-
 
 def partitions(spark: SparkSession) -> int:
     """How many parts a shuffle has in this session: a job that outgrows its memory is given more."""

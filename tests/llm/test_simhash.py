@@ -74,6 +74,51 @@ def test_links_connect_as_all_pairs_do(spark, monkeypatch, chunk):
         assert (x == y) == (ours[a] == ours[b])
 
 
+@pytest.mark.parametrize("choice", [2, 3, 4, 5])
+@pytest.mark.parametrize("chunk", [3, 4096])
+def test_every_number_of_partitions_links_the_same(spark, monkeypatch, choice, chunk):
+    """Wide partitions too, whose values are counted only where they are hot."""
+    monkeypatch.setattr(simhash, "CHOICES", (choice,))
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rng = random.Random(choice)
+    fps = {rng.getrandbits(64) for _ in range(40)}
+    fps |= {base ^ sum(1 << b for b in rng.sample(range(64), 4)) for base in list(fps)[:10] for _ in range(8)}
+    fps = [int(np.uint64(x).astype(np.int64)) for x in fps]
+    distinct = spark.createDataFrame([(x,) for x in fps], "fp bigint")
+    assert sum(p.t for p in simhash.plan(distinct)) >= 4 - choice + 1
+    root = {r.v: r.root for r in components(links(distinct)).collect()}
+    ours = [root.get(x, x) for x in fps]
+    for (a, x), (b, y) in itertools.combinations(enumerate(brute_components([x & (2**64 - 1) for x in fps])), 2):
+        assert (x == y) == (ours[a] == ours[b])
+
+
+def test_more_fingerprints_take_wider_partitions():
+    """By the estimates of even fingerprints; the estimate of two pieces is near the true count."""
+    rng = np.random.default_rng(5)
+    sample = rng.integers(0, 1 << 20, 30_000)
+    whole = np.bincount(sample, minlength=1 << 20)
+    pieces = [np.bincount(sample & 1023, minlength=1024), np.bincount(sample >> 10, minlength=1024)]
+    assert simhash.estimated(pieces, 30_000, 3)[3] == pytest.approx(compared(whole, 3), rel=0.1)
+
+    def width(n):
+        cost = {}
+        for m in (2, 3, 4):
+            bits = 64 // m
+            costs = [{-1: 0.0} | {t: n * n * len(ball(bits, t)) / 2.0**bits + 16 * n * len(ball(bits, t)) for t in range(3)}] * m
+            cost[m] = allocate(costs)[0]
+        return min(cost, key=cost.get)
+
+    assert width(10**5) == 4 and width(10**7) == 3 and width(10**11) == 2
+
+
+@pytest.mark.parametrize("many", [0, 100_000])
+def test_hubs_and_hot_keys_are_broadcast(spark, monkeypatch, many):
+    monkeypatch.setattr(simhash, "MANY_EDGES", many)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(500 - i, 500) for i in range(1, 60)]
+    root = {r.v: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert root == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 60)} | {i: 441 for i in range(442, 501)}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)]
     root = {r.v: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
@@ -96,6 +141,14 @@ def test_plan_parts():
     assert values_of(np.array([0b1010], np.int64), [1, 3]).tolist() == [3]
 
 
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    a, b, other = (words(random.Random(x), 60) for x in (1, 2, 3))
+    docs = spark.createDataFrame([(5, a, 1), (5, b, 2), (3, b, 3), (7, other, 4), (7, other, 4), (7, a + " more", 5)], "doc_id bigint, text string, row int").selectExpr("*", "0 AS _id_", "1 AS link", "2 AS component_id", "3 AS listed_id")
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.row != 5) == [(3, b), (5, a), (7, other)]
+
+
 def test_keep_one(spark, odd_docs):
     kept = keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
