@@ -9,6 +9,13 @@ its parent. A maximum flow saturates the cheapest cut; what the source still rea
 Elements that are never content (navigation, footers, headers outside of an article, forms, asides and so on) have
 an unlimited capacity to the sink, so smoothness can't pull them in. Scripts, styles and comments never become text.
 
+What an element's tag, role or class says against it holds only where it can be meant for all of the element: it fades
+as the share of the page's text beneath grows from PART to WHOLE, and it doesn't count for an element that holds the
+main element, or an article and a PART of the text; nor do names that wrap whole pages (has-sidebar, with-nav). So a page inside a form
+or a wrapper called after its sidebar keeps its text. Reader comments may be longer than the article, so what says comments fades
+only above the main element or the first heading. A list of comments without a telling name is known by its heading, and goes from there
+to the end of the element that holds the heading.
+
 Character references are decoded, white space within a block is one space, blocks are trimmed, empty ones left out,
 and joined in page order by two line feeds. A null, empty or text-less page gives the empty text. Unclosed and
 truncated markup is read as browsers do: what is open ends with the page, a cut-off tag is dropped. Repeated rows
@@ -20,7 +27,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,6 +41,8 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 #: Elements whose content isn't text of the page.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "canvas", "object", "select", "math"}
+BUTTON_END = re.compile(r"</button\s*>", re.IGNORECASE)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby",
@@ -53,6 +62,14 @@ BAD_WORDS = frozenset(
     "comment comments reply replies respond disqus form search pagination pager tags meta toolbar copyright legal disclaimer skip toc".split()
 )
 GOOD_WORDS = frozenset("article content post entry story body text main page".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())
+#: Words before one of BAD_WORDS in a class that make it one of a wrapper: has-sidebar, with-nav, no-comments.
+WRAPPING = frozenset("has have with without no show hide hides is page layout".split())
+#: The heading of a list of comments: a word for them, with a number or a few small words around.
+COMMENTS_HEADING = re.compile(r"(?:\d+|reader|readers|user|leave|post|write|add|a|your|all|the|view|show)?\W*(?:\d+|reader|readers|a|your)?\W*(?:comments?|replies|reply|responses|kommentare?|commentaires?|comentarios?|commenti|reacties)\W*(?:\(?\d+\)?)?\W*", re.IGNORECASE)
+#: Share of the page's text under an element from which on nothing is left of what speaks against it, and the share that an
+#: element around an article needs for that.
+WHOLE, PART = 0.5, 0.25
 TAG_SCORE = {"p": 1.0, "pre": 1.0, "blockquote": 0.8, "h1": 0.8, "h2": 0.5, "h3": 0.5, "h4": 0.3, "li": -0.5, "td": -0.3, "th": -0.3, "dt": -0.2, "dd": 0.0, "figcaption": 0.2}
 BAD, GOOD, LINKED, SHORT = -5.0, 1.0, -5.0, -0.8
 #: Smoothness of neighbours, of a block with its container and of a container with its parent; capacities are integers.
@@ -61,33 +78,55 @@ SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.s
 
 
 class Element:
-    __slots__ = ("evidence", "hard", "index", "inside", "name", "parent")
+    """An element, what its own tag says (the rest comes from its parents, once all of the page is known)."""
+
+    __slots__ = ("bad", "chars", "comments", "evidence", "good", "hard", "hidden", "holds", "index", "inside", "name", "parent", "unwanted")
 
     def __init__(self, name: str, parent: Element | None, attributes: str = "", index: int = 0) -> None:
-        self.name, self.parent, self.index = name, parent, index
-        self.evidence = parent.evidence if parent else 0.0
-        self.hard = parent.hard if parent else False
+        self.name, self.parent, self.index, self.chars = name, parent, index, 0
         self.inside = bool(parent and (parent.inside or parent.name in GOOD_TAGS))
-        if name in GOOD_TAGS and not self.inside:
-            self.evidence = max(self.evidence, 0.0) + GOOD_TAGS[name]
-        self.hard |= name in HARD or (name == "header" and not self.inside)
+        self.good, self.evidence, self.hard = 0.0, 0.0, False
+        self.unwanted = name in HARD or (name == "header" and not self.inside)
+        self.hidden = self.bad = self.comments = False
+        self.holds: set[str] = set()  # which of article, main and h1 are beneath
         if attributes:
-            words: set[str] = set()
+            classes: list[list[str]] = []
             for m in ATTRIBUTE.finditer(attributes):
                 key, value = m[1].lower(), (m[2] or "").strip("\"'")
                 if key == "role":
-                    self.hard |= value.lower() in HARD_ROLES
+                    self.unwanted |= value.lower() in HARD_ROLES
                 elif key == "style":
-                    self.hard |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE))
+                    self.hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE))
                 elif key in ("hidden", "aria-hidden"):
-                    self.hard |= value.lower() not in ("false", "until-found")
+                    self.hidden |= value.lower() not in ("false", "until-found")
                 else:
-                    words |= {w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", value)}
+                    classes += [[w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", c)] for c in value.split()]
             if name not in ("html", "body"):
-                if words & BAD_WORDS:
-                    self.evidence += BAD
-                elif words & GOOD_WORDS:
-                    self.evidence += GOOD
+                named = [c for c in classes if c and not (len(c) > 1 and c[0] in WRAPPING)]
+                words = {w for c in named for w in c}
+                self.bad = bool(words & BAD_WORDS)
+                self.comments = bool(words & COMMENT_WORDS)
+                if not self.bad and {w for c in classes for w in c} & GOOD_WORDS:
+                    self.good = GOOD
+        if name in GOOD_TAGS or name == "h1":
+            e = parent
+            while e is not None and name not in e.holds:
+                e.holds |= {name}
+                e = e.parent
+
+    def settle(self, total: int) -> None:
+        """Add what the parents say to what this element says; they are settled already."""
+        up, share = self.parent, self.chars / max(total, 1)
+        left = min(1.0, max(0.0, (WHOLE - share) / (WHOLE - PART)))
+        if self.comments:
+            left = 0.0 if "main" in self.holds or ("h1" in self.holds and share >= PART) else 1.0
+        elif "main" in self.holds or ("article" in self.holds and share >= PART):
+            left = 0.0
+        self.hard = self.hidden or bool(up and up.hard) or ((self.unwanted or self.comments) and left > 0)
+        self.evidence = up.evidence if up else 0.0
+        if self.name in GOOD_TAGS and not self.inside:
+            self.evidence = max(self.evidence, 0.0) + GOOD_TAGS[self.name]
+        self.evidence += BAD * left if self.bad else self.good
 
 
 class Block:
@@ -104,14 +143,19 @@ class Block:
 def blocks(page: str) -> list[tuple[str, int, Element]]:
     """Texts of the blocks in page order, the characters of each within links, and the element that holds it."""
     root = Element("", None)
-    stack, out, current, at, links, count = [root], [], Block(root), 0, 0, 1
+    stack, out, current, at, links, every = [root], [], Block(root), 0, 0, [root]
+    names, unclosed = Counter(), False
 
     def end() -> None:
         nonlocal current
         if current.pieces and (text := current.text):
             out.append((text, current.linked, current.element))
+            current.element.chars += len(text)
         current = Block(stack[-1])
 
+    def pop() -> None:
+        names[stack.pop().name] -= 1
+
     def said(raw: str) -> None:
         if raw:
             text = html.unescape(raw)
@@ -128,9 +172,10 @@ def blocks(page: str) -> list[tuple[str, int, Element]]:
                 links = 0
             if name in INLINE:
                 continue
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), 0)
-            if k:
-                del stack[k:]
+            if names[name]:
+                while stack[-1].name != name:
+                    pop()
+                pop()
                 end()
             elif name == "p":
                 end()
@@ -147,23 +192,46 @@ def blocks(page: str) -> list[tuple[str, int, Element]]:
                 links = 1
             elif name == "br":
                 current.pieces.append("\n")
-            elif name == "button" and (close := re.compile(r"</button\s*>", re.IGNORECASE).search(page, at)):
-                at = close.end()
+            elif name == "button" and not unclosed:
+                close = BUTTON_END.search(page, at)
+                unclosed, at = close is None, close.end() if close else at
             continue
         if name not in VOID:
             if stack[-1].name == "p" and name not in NOT_IN_P:
-                stack.pop()
+                pop()
             if name in IMPLIED and stack[-1].name in IMPLIED[name]:
-                stack.pop()
+                pop()
             if stack[-1].name == "p" and name in ("li", "dt", "dd"):
-                stack.pop()
+                pop()
             if not m[3].endswith("/"):
-                stack.append(Element(name, stack[-1], m[3], count))
-                count += 1
+                every.append(Element(name, stack[-1], m[3], len(every)))
+                stack.append(every[-1])
+                names[name] += 1
         links = 0
         end()
     said(page[at:])
     end()
+    for e in reversed(every):  # children come after their parents
+        if e.parent is not None:
+            e.parent.chars += e.chars
+    for e in every:
+        e.settle(root.chars)
+    return out
+
+
+def under_comments(found: list[tuple[str, int, Element]]) -> set[int]:
+    """The blocks from a heading of comments to the end of the element that holds it."""
+    out: set[int] = set()
+    for i, (text, _, e) in enumerate(found):
+        if i not in out and len(text) < 40 and e.parent is not None and e.name not in ("p", "pre", "li", "td", "blockquote") and COMMENTS_HEADING.fullmatch(text):
+            holder = e.parent if e.name in HEADINGS else e
+            for j in range(i, len(found)):
+                x = found[j][2]
+                while x is not None and x.index > holder.index:
+                    x = x.parent
+                if x is not holder:
+                    break
+                out.add(j)
     return out
 
 
@@ -256,8 +324,9 @@ def network(found: list[tuple[str, int, Element]]) -> Network:
             node(x)
         joins.append((i, node(holder), INSIDE))
     graph = Network(n + 2 + len(containers))
+    comments = under_comments(found)
     for i, (text, linked, e) in enumerate(found):
-        value = -UNLIMITED if e.hard else round(SCALE * score(text, linked, e))
+        value = -UNLIMITED if e.hard or i in comments else round(SCALE * score(text, linked, e))
         if value > 0:
             graph.edge(n, i, value)
         elif value < 0:

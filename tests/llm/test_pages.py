@@ -48,6 +48,52 @@ def test_neighbours_pull_in_weak_blocks():
     assert "weak" not in main_text(f"<div>{long}{long}</div><div><ul><li><a>weak</a></li><li><a>weak</a></li></ul></div>")
 
 
+LEAD = "The old mill by the river was built by the miller's family more than two hundred years ago."
+MORE = "Since then it has ground the corn of all the farms around, and its wheel still turns in the spring."
+LAST = "Visitors may see it on Sundays, when the miller's daughter shows how the stones are set and dressed."
+BODY = f"<p>{LEAD}</p><p>{MORE}</p><p>{LAST}</p>"
+NAV = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/mills'>All mills</a></li></ul></nav>"
+SAID = "".join(f"<div><b>Reader {i}</b><p>I was there last year with my children and we liked it a lot, as did all the others.</p></div>" for i in range(9))
+SIDE = "<div class='sidebar'><h3>Popular</h3><ul><li><a href='/a'>Ten bridges to see</a></li><li><a href='/b'>The best of the coast</a></li></ul></div>"
+FOOT = "<footer><p>Copyright 2024 by the people of the mill, who wrote all of this down for you.</p></footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"{NAV}<div class='page has-sidebar'>{BODY}</div>{FOOT}",
+        f"<form id='aspnetForm'><article>{BODY}</article></form>{FOOT}",
+        f"<form id='aspnetForm'>{NAV}<div>{BODY}</div></form>",
+        f"<div class='layout-with-nav'><div class='content'>{BODY}</div>{SIDE}</div>{FOOT}",
+        f"<div id='wrapper' class='no-comments'><div class='post-body'>{BODY}</div></div>",
+        f"<main class='modal-page'>{NAV}{BODY}</main>{FOOT}",
+        f"<div class='sidebar-page'><main>{BODY}</main>{SIDE}</div>",
+        f"<table><tr><td class='menu'><a href='/'>Home</a> <a href='/x'>Mills</a></td><td><font>{BODY}</font></td></tr></table>",
+        f"<article>{BODY}</article><section id='comments'>{SAID}</section>",
+        f"<article>{BODY}</article><section id='comments'><article><p>{MORE[::-1]}</p></article></section>",
+        f"<div class='entry'>{BODY}</div><div><h3>9 Comments</h3>{SAID}</div>{FOOT}",
+        f"<article>{BODY}<section><h4>Kommentare (9)</h4>{SAID}</section></article>",
+        f"<div>{BODY}</div>{SIDE}{FOOT}",
+        f"<div role='main'>{BODY}</div><div role='complementary'><p>{MORE[::-1]}</p></div>",
+        f"<div class='related'><p>{MORE[::-1]}</p></div><div class='story'>{BODY}</div><div style='display: none'><p>{LEAD[::-1]}</p></div>",
+    ],
+)
+def test_makes_of_pages(page):
+    assert main_text(f"<html><body class='sidebar page'>{page}</body></html>").split("\n\n") == [LEAD, MORE, LAST]
+
+
+def test_unclosed_elements_take_linear_time():
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        main_text("<button>a <div><p>b </q></i></section>" * n)
+        return time.perf_counter() - began
+
+    seconds(50)
+    assert seconds(4000) < 40 * max(seconds(400), 0.01)
+
+
 def test_flow_is_a_minimum_cut():
     rng = random.Random(6)
     for _ in range(60):
