@@ -11,15 +11,18 @@ occurs, the sum of the smaller weights over the sum of the larger.
    out. A passage found in place also shows in windows a few words off; these count only for pairs of document and
    item that have no window in place, such as items whose parts were reordered.
 2. Fingerprints. Each window's and each item's 64-bit SimHash is the majority of each bit over its shingles' hashes.
-3. Candidates. The fingerprint is cut into RADIUS + 1 blocks. Fingerprints within RADIUS bits agree in one block at
-   least, so a join on (words of the item, block, value) misses none of them; their distance is then counted. At a
-   similarity of 0.8 two fingerprints differ in about 10 bits with a spread of 3, so RADIUS is far above what is
-   ever seen.
+3. Candidates. The fingerprint is cut into RADIUS + 1 blocks, so fingerprints within RADIUS bits agree in one block at
+   least. At a similarity of 0.8 two fingerprints differ in about 10 bits with a spread of 3, and the radius has to be
+   far above that, which leaves blocks of three bits. These alone would pair most windows with most items of a length, so the
+   index is kept for each rare shingle: of the shingles in order from those of the fewest items to those of the most, the
+   first that more than the rest of a similar text's shingles can't do without. Texts of a similarity of 0.8 share
+   one of these, so a join on (words of the item, rare shingle, block, value) misses no pair within the radius, and its
+   output follows what texts share instead of what there is. The distance is then counted.
 4. Verification. For candidates, the similarity is computed exactly from the shingles' counts.
 
-Items are the small side, and are broadcast only where their shingles, counted first, are BROADCAST_ROWS or fewer; beyond
-that Spark joins by shuffling. A shingle that very many documents hold is a hot key of the documents' side only; each
-task gathers a document's positions before it shuffles. The texts are read a second time for those documents that have a
+Items are the small side. Their shingles, counted first, are broadcast in slices of BROADCAST_ROWS, for each of which the
+documents are looked through once, so that no word of the corpus is shuffled and a shingle that very many documents hold is
+no hot key; beyond MOST_SLICES slices Spark joins by shuffling. Each task gathers a document's positions before it shuffles. The texts are read a second time for those documents that have a
 window: their text hashes, counted first, are broadcast like the items, so that only those texts are shuffled.
 
 Items with fewer than five words are one shingle of all their words; documents then have shingles of that many words
@@ -29,13 +32,15 @@ Repeated rows count once. Empty tables give an empty result. Only doc_id and tex
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import GAP, counted, staged, text_of
+from quern.llm.common import GAP, counted, staged, text_of, unused
 
 SHINGLE, SIMILARITY, BITS, RADIUS = 5, 0.8, 64, 20
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS, MOST_SLICES = 2_000_000, 8
 
 
 def words(text: Column) -> Column:
@@ -72,6 +77,28 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return found.select("item_id", "n", "k", "shingles", fingerprint(F.col("shingles")).alias("fp"))
 
 
+def counted_tokens(hashes: Column) -> Column:
+    """An array as a set of as many members: of equal hashes the second and later ones are told apart by their number."""
+
+    def numbered(all_of: Column) -> Column:
+        nth = lambda x, i: i + F.lit(1) - F.array_position(all_of, x)
+        return F.transform(all_of, lambda x, i: F.when(nth(x, i) == 0, x).otherwise(F.xxhash64(x, nth(x, i))))
+
+    return F.transform(F.array(F.array_sort(hashes)), numbered)[0]  # binds the sorted array
+
+
+def rare_shingles(table: DataFrame, key: str, shared: DataFrame, need: Column) -> DataFrame:
+    """key, n, fp and each rare shingle of a table with these and shingles: the first size - need + 1 in order of the number of
+    items that hold them (shared: h, held), then of the hash.
+
+    If two texts share as many shingles as either needs, they share one that is rare in both.
+    """
+    each = table.select(key, "n", "fp", F.size("shingles").alias("m"), need.alias("need"), F.explode("shingles").alias("h"))
+    told = each.join(shared, "h", "left").groupBy(key, "n", "fp", "m", "need").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "h"))).alias("by"))
+    rare = F.array_distinct(F.transform(F.slice("by", F.lit(1), F.col("m") - F.col("need") + F.lit(1)), lambda x: x["h"]))
+    return told.select(key, "n", "fp", F.explode(rare).alias("rare"))
+
+
 def window_starts(at: Column, n: Column, k: int, n_words: Column) -> Column:
     """Starts of the windows of n words that hold enough shared shingles of k words to reach SIMILARITY.
 
@@ -99,8 +126,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = staged(items_of(benchmark), "items")
     ks = sorted(r.k for r in items.select("k").distinct().collect())  # five at most
     placed = items.select("k", "n", F.posexplode("shingles").alias("offset", "h")).distinct()
-    small = items.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).collect()[0][0] <= BROADCAST_ROWS
-    hint = F.broadcast if small else lambda df: df
+    n_slices = -(-items.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).collect()[0][0] // BROADCAST_ROWS)
+    cut = [F.broadcast(placed.where(F.pmod("h", F.lit(n_slices)) == s)) for s in range(n_slices)] if n_slices <= MOST_SLICES else [placed]
     if not ks:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, similarity double, first int, n_windows bigint")
 
@@ -109,7 +136,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = None
     for k in ks:
         own = hashed.select("doc_id", "text_hash", F.size("words").alias("n_words"), F.posexplode(shingles(F.col("words"), k)).alias("position", "h"))
-        hit = own.join(hint(placed.where(F.col("k") == k).drop("k")), "h")
+        hit = functools.reduce(DataFrame.union, (own.join(part.where(F.col("k") == k).drop("k"), "h") for part in cut))
         start = F.greatest(F.lit(0), F.least(F.col("position") - F.col("offset"), F.col("n_words") - F.col("n")))
         shared = hit.groupBy("doc_id", "text_hash", "n", "n_words").agg(F.sort_array(F.collect_set("position")).alias("at"), F.collect_set(start).alias("in_place"))
         starts = shared.select("doc_id", "text_hash", "n", "in_place", window_starts(F.col("at"), F.col("n"), k, F.col("n_words")).alias("starts"))
@@ -136,17 +163,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     classes = staged(classes.withColumn("class", F.xxhash64("n", "shingles")), "classes")
     distinct = staged(classes.groupBy("class", "n").agg(F.first("shingles").alias("shingles")).withColumn("fp", fingerprint(F.col("shingles"))), "prints")
 
-    left = distinct.select("class", "n", "fp", F.explode(blocks(F.col("fp"))).alias("b")).select("class", "n", "fp", "b.*")
-    right = items.select("item_id", "n", F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"))).alias("b")).select("item_id", "n", "item_fp", "b.*")
+    held = counted(items.select(F.explode(F.array_distinct("shingles")).alias("h")).groupBy("h").agg(F.count("*").alias("held")), "held")
+    of_item = F.col("n") - F.least(F.col("n"), F.lit(SHINGLE)) + F.lit(1)
+    need_of_class = F.ceil((F.size("shingles") + of_item) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9).cast("int")
+    need_of_item = F.ceil(F.size("shingles") * SIMILARITY - 1e-9).cast("int")  # of the union, which the item is part of
+    by_block = lambda df, key: df.select(key, "n", "fp", "rare", F.explode(blocks(F.col("fp"))).alias("b")).select(key, "n", "fp", "rare", "b.*")
+    left = by_block(rare_shingles(distinct, "class", held, need_of_class), "class")
+    right = counted(by_block(rare_shingles(items, "item_id", held, need_of_item), "item_id").withColumnRenamed("fp", "item_fp"), "index")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS
-    pairs = left.join(hint(right), ["n", "block", "value"]).where(near).select("class", "item_id").distinct()
+    pairs = left.join(right, ["n", "rare", "block", "value"]).where(near).select("class", "item_id").distinct()
 
-    # Exact similarity: the smaller of both counts of each shared shingle, over what both hold less that.
-    counts = distinct.select("class", F.size("shingles").alias("size"), F.explode("shingles").alias("h")).groupBy("class", "size", "h").agg(F.count("*").alias("c"))
-    item_counts = items.select("item_id", F.size("shingles").alias("item_size"), F.explode("shingles").alias("h")).groupBy("item_id", "item_size", "h").agg(F.count("*").alias("item_c"))
-    shared = counts.join(hint(item_counts), "h").groupBy("class", "size", "item_id", "item_size").agg(F.sum(F.least("c", "item_c")).alias("both"))
-    rated = shared.withColumn("similarity", F.col("both") / (F.col("size") + F.col("item_size") - F.col("both"))).where(F.col("similarity") >= SIMILARITY)
-    verified = staged(rated.join(pairs, ["class", "item_id"], "left_semi").select("class", "item_id", "similarity"), "verified")
+    # Exact similarity of the candidates: the smaller of both counts of each shingle, over what both hold less that.
+    ours = distinct.select("class", counted_tokens(F.col("shingles")).alias("ours"))
+    theirs = items.select("item_id", counted_tokens(F.col("shingles")).alias("theirs"))
+    both = F.size(F.array_intersect("ours", "theirs"))
+    rated = pairs.join(ours, "class").join(F.broadcast(theirs) if n_slices <= 1 else theirs, "item_id")
+    rated = rated.select("class", "item_id", (both / (F.size("ours") + F.size("theirs") - both)).alias("similarity"))
+    verified = staged(rated.where(F.col("similarity") >= SIMILARITY), "verified")
 
     found = classes.join(verified, "class").groupBy("doc_id", "item_id", "in_place", "first").agg(F.max("similarity").alias("similarity"))
     by_kind = found.groupBy("doc_id", "item_id", "in_place").agg(
@@ -157,6 +190,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that no item contaminates; rows that have no doc_id are looked up by text."""
+    leak = unused(docs, "leak")
     found = contaminated(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), benchmark)
-    leaks = counted(found.select(F.col("doc_id").alias("_leak_")).distinct(), "leaks")
-    return docs.join(leaks, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_leak_"), "left_anti")
+    leaks = counted(found.select(F.col("doc_id").alias(leak)).distinct(), "leaks")
+    return docs.join(leaks, F.xxhash64(docs["doc_id"], docs["text"]) == F.col(leak), "left_anti")

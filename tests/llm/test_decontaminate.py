@@ -57,10 +57,11 @@ def corpus(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_equals_brute_force(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize(("rows", "slices"), [(2_000_000, 8), (200, 8), (200, 0)])
+def test_equals_brute_force(spark, monkeypatch, rows, slices):
+    """With all items at once, in slices, and by shuffling."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(decontaminate, "MOST_SLICES", slices)
     docs, items = corpus(3)
     ds = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "1 AS n", "'x' AS words", "2 AS first")
     bs = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "'y' AS h", "3 AS k")
@@ -142,3 +143,30 @@ def test_pairs_are_those_of_every_window(spark):
     assert brute([x for x in pasted if x[0] < 400], items) == []  # no window in place shows them
     assert all(found[x].similarity == pytest.approx(expected[x]) for x in expected if x[0] >= 300)
     assert {r.doc_id for r in keep_clean(ds, bs).collect()} == {d for d, _ in docs} - {d for d, _ in expected}
+
+
+def test_random_windows_are_no_candidates_and_similar_ones_are(spark):
+    """Rare shingles and blocks of items of 6 to 200 words: what the index pairs, against all pairs of equal length."""
+    rng, items, texts = random.Random(12), [], []
+    for i in range(120):
+        n = rng.choice([6, 9, 13, 20, 48, 90, 200])
+        v = [f"x{rng.randrange(400)}" for _ in range(n)]
+        items.append((i, " ".join(v)))
+        w = list(v)
+        if n > 12:
+            for _ in range(rng.randrange(0, max(1, n // 45) + 1)):
+                w[rng.choice([0, 1, 2, -1, -2, rng.randrange(n)])] = "other"
+        texts.append((i, " ".join(w)))
+        texts.append((1000 + i, " ".join(f"x{rng.randrange(400)}" for _ in range(n))))
+    of = lambda rows: decontaminate.items_of(spark.createDataFrame(rows, "item_id bigint, text string"))
+    bench, ours = of(items).cache(), of(texts).withColumnRenamed("item_id", "class").cache()
+    held = bench.select(F.explode(F.array_distinct("shingles")).alias("h")).groupBy("h").agg(F.count("*").alias("held"))
+    m = F.size("shingles")
+    a = decontaminate.rare_shingles(ours, "class", held, F.ceil(m * 2 * (0.8 / 1.8) - 1e-9).cast("int"))
+    b = decontaminate.rare_shingles(bench, "item_id", held, F.ceil(m * 0.8 - 1e-9).cast("int"))
+    near = F.bit_count(a.fp.bitwiseXOR(b.fp)) <= RADIUS
+    found = {(r["class"], r.item_id) for r in a.join(b, (a.rare == b.rare) & (a.n == b.n) & near).select("class", "item_id").distinct().collect()}
+    true = {(d, i) for (d, i), s in every_window(texts, items).items() if len(dict(texts)[d].split()) == len(dict(items)[i].split())}
+    same = sum(len(t.split()) == len(v.split()) for _, t in texts for _, v in items)
+    assert true <= found and len(true) > 60
+    assert len(found - true) < 0.01 * same
