@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -107,21 +108,22 @@ def scan(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     found += [(m.start(), m.end(), "hex") for m in LONG_HEX.finditer(text)]
-    base = list(found)
-    bars = merged(base)
+    bars = merged(found)
+    begins, ends = [x for x, _ in bars], [y for _, y in bars]
     for m in CANDIDATE.finditer(text):
         if any(p.fullmatch(m[0]) for p in ALLOWED):
             continue
         hits = set()
-        near = [(x - m.start(), y - m.start()) for x, y in bars if x < m.end() and m.start() < y]
         for pattern, least in CLASSES.values():
             for run in pattern.finditer(m[0]):
-                own = [(x - run.start(), y - run.start()) for x, y in near]
-                hits |= {(a + run.start() + m.start(), b + run.start() + m.start()) for a, b in random_windows(run[0], least, own)}
-        found += {
-            (max([m.start(), *(y for _, y, _ in base if y <= a)]), min([m.end(), *(x for x, _, _ in base if x >= b)]), "entropy")
-            for a, b in hits
-        }
+                first, last = m.start() + run.start(), m.start() + run.end()
+                near = bars[bisect_right(ends, first) : bisect_left(begins, last)]
+                hits |= {(a + first, b + first) for a, b in random_windows(run[0], least, [(x - first, y - first) for x, y in near])}
+        # A window is clear of bars, so the bar before it ends, and the one after it begins, outside of it.
+        for a, b in hits:
+            before, after = bisect_right(ends, a), bisect_left(begins, b)
+            found.append((max(m.start(), ends[before - 1] if before else 0), min(m.end(), begins[after] if after < len(bars) else len(text)), "entropy"))
+    found = list(dict.fromkeys(found))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
