@@ -47,7 +47,33 @@ def test_round_trip(spark, monkeypatch, most):
 
 def test_parts_and_empty(spark):
     parts = format_chat(spark.createDataFrame([(1, 0, "user", "hi <b>"), (1, 1, "assistant", "yé\\")], SCHEMA)).collect()
-    assert len(parts) == 1 and parts[0].formatted == "<turn>user\nhi \\<b></turn>\n<turn>assistant\nyé\\\\</turn>\n"
-    assert parts[0].formatted[slice(*parts[0].loss)] == "yé\\\\"
-    assert parse(parts[0].formatted.encode())[1] == (b"assistant", "yé\\".encode())
+    parts.sort(key=lambda p: p.part)
+    formatted = "".join(p.formatted for p in parts)
+    assert formatted == "<turn>user\nhi \\<b></turn>\n<turn>assistant\nyé\\\\</turn>\n"
+    assert [p.formatted[a:b] for p in parts for a, b in zip(p.loss[::2], p.loss[1::2], strict=True)] == ["yé\\\\"]
+    assert parse(formatted.encode())[1] == (b"assistant", "yé\\".encode())
     assert chat_digests(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("piece", ["plain words ", "\\<", "é<\\n"])
+def test_a_very_long_turn_takes_little_memory(piece):
+    """Assembled, read back and digested in a process of its own, whose peak is looked at."""
+    import subprocess
+    import sys
+
+    code = f"""
+import resource, hashlib, numpy as np, pyarrow as pa
+from quern.llm import chat
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text = {piece!r} * (16_000_000 // len({piece!r}.encode()))
+out, at, texts = chat.assemble(pa.array(['assistant'], pa.large_string()), pa.array([text], pa.large_string()))
+raw = out.tobytes()
+del out
+[m] = chat._TURN.finditer(raw)
+assert hashlib.sha256(chat.unescape_text(m[2])).digest() == hashlib.sha256(text.encode()).digest()
+points = chat.points_until(np.frombuffer(raw, np.uint8), texts[0])
+assert chat.places_of(np.frombuffer(raw, np.uint8), points.tolist())[1] == texts[0].tolist()
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(found.stdout) < 450  # MB for a text of 16 MB, escaped to 32
