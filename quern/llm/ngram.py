@@ -8,13 +8,17 @@ first word. Three passes over the texts, none of which shuffles a text or a toke
    with its counts. A word's id is its place in all parts together, plus one; the end token has id 0.
 2. Pairs of ids are counted in the same way, parted by the range of the context's id: a sorted array of
    (context, word) keys with counts. With it go, for each context, its total and its numbers of words seen once,
-   twice and more often, and, for each word, in how many contexts it occurs.
+   twice and more often, and, for each word, in how many contexts it occurs. Contexts with more than a fourth of an even
+   part of all tokens (at most four times the number of parts) are dealt by the hash of the pair, so that no task holds all
+   pairs of a frequent word; their totals are summed over the parts.
 3. Workers map these arrays into memory and score every text by binary search.
 
 P(w | v) = max(c(vw) - D(c(vw)), 0) / c(v) + (sum_k D_k N_k(v)) / c(v) * P(w), and P(w) is of the same form over the
 numbers of contexts, interpolated with 1 / (V + 1), so that an unknown word has a probability. D_1, D_2 and D_3+ come
-from the numbers of n-grams seen one to four times, at each order; where those are zero (tiny inputs), they are 1/2, 1 and
-3/2. The order is two: distinct word triples of the whole corpus take more than the disk budget as sorted arrays.
+from the numbers of n-grams seen one to four times, at each order; where those give no discount between 0 and the count
+(tiny or odd inputs), they are 1/2, 1 and 3/2, so that unseen words always keep some probability. The order is two: distinct word triples of the whole corpus take more than the disk budget as sorted arrays.
+
+Counts are kept in 64 bits where 32 don't hold them. Ids have 32 bits: a corpus of more than MOST_WORDS distinct words is an error.
 
 Null texts count as empty: they have the end token only. A null doc_id counts as the empty text for the split.
 Without training texts N and V are 0
@@ -38,12 +42,20 @@ BLOB = pa.schema([("part", pa.int32()), ("blob", pa.binary())])
 STATS = pa.schema([("part", pa.int32()), ("size", pa.int64()), ("tokens", pa.int64()), *((f"n{k}", pa.int64()) for k in range(1, 5))])
 STATS_DDL = "part int, size bigint, tokens bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint"
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+HOT = pa.schema([("id", pa.int64())])
 DDL = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 #: Keys that a task gathers before it packs them: repeats among them are never shuffled.
 GATHERED = 4_000_000
 #: Bytes of text that are looked up together: the more, the nearer neighbours are in the sorted arrays.
 SLICE = 4 << 20
 MODULUS = 10
+#: Distinct words whose ids, with the end's, fit the half of a key.
+MOST_WORDS = (1 << 32) - 2
+
+
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits if all fit, else in 64."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64)
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -51,17 +63,18 @@ def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
     import zstandard
 
     gaps = np.diff(keys, prepend=np.uint64(0))
-    planes = np.concatenate([gaps.view(np.uint8).reshape(-1, 8).T.ravel(), counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.ravel()])
-    return np.uint64(len(keys)).tobytes() + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    counts = narrow(counts)
+    planes = np.concatenate([gaps.view(np.uint8).reshape(-1, 8).T.ravel(), counts.view(np.uint8).reshape(-1, counts.itemsize).T.ravel()])
+    return np.array([len(keys), counts.itemsize], np.uint64).tobytes() + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     import zstandard
 
-    n = int(np.frombuffer(blob[:8], np.uint64)[0])
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[8:], max_output_size=12 * n), np.uint8)
+    n, width = np.frombuffer(blob[:16], np.uint64).tolist()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[16:], max_output_size=(8 + width) * n), np.uint8)
     gaps = np.ascontiguousarray(planes[: 8 * n].reshape(8, n).T).view(np.uint64).ravel()
-    counts = np.ascontiguousarray(planes[8 * n :].reshape(4, n).T).view(np.uint32).ravel()
+    counts = np.ascontiguousarray(planes[8 * n :].reshape(width, n).T).view(f"<u{width}").ravel()
     return np.cumsum(gaps, dtype=np.uint64), counts.astype(np.int64)
 
 
@@ -96,7 +109,7 @@ def discounts(n: list[int]) -> np.ndarray:
         return np.array([0.0, 0.5, 1.0, 1.5])
     y = n1 / (n1 + 2 * n2)
     d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return np.array([0.0, *(min(max(x, 0.0), float(k)) for k, x in enumerate(d, 1))])
+    return np.array([0.0, *(x if 0 < x <= k else k / 2 for k, x in enumerate(d, 1))])
 
 
 class Sorted:
@@ -137,6 +150,7 @@ class Model:
         self.arrays, self.n = arrays, n
         self.words = self.pairs = None
         self.train_tokens = self.distinct = self.ends = 0
+        self.hot, self.hot_stats = np.array([], np.int64), np.zeros((0, 4), np.int64)
 
     def word_part(self, hashes: np.ndarray) -> np.ndarray:
         return (((hashes >> np.uint64(32)) * np.uint64(self.n)) >> np.uint64(32)).astype(np.int32)
@@ -144,6 +158,19 @@ class Model:
     def context_part(self, ids: np.ndarray) -> np.ndarray:
         return (ids.astype(np.int64) * self.n // (int(self.words.first[-1]) + 1)).astype(np.int32)
 
+    def is_hot(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which ids are frequent contexts, and their places among these."""
+        if not len(self.hot):
+            return np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
+        at = np.minimum(np.searchsorted(self.hot, ids), len(self.hot) - 1)
+        return self.hot[at] == ids, at
+
+    def pair_part(self, keys: np.ndarray) -> np.ndarray:
+        context = (keys >> np.uint64(32)).astype(np.int64)
+        mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return np.where(self.is_hot(context)[0], self.word_part(mixed), self.context_part(context))
+
     def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the tokens of all texts (0: end, -1: unknown), the token count of each text, and the words' counts."""
         hashes, sizes = word_hashes(texts)
@@ -165,6 +192,8 @@ class Model:
             if len(own):
                 i = np.minimum(np.searchsorted(own, ids[mine]), len(own) - 1)
                 out[mine] = np.where((own[i] == ids[mine])[:, None], stats[i], 0)
+        hot, at = self.is_hot(ids)
+        out[hot] = self.hot_stats[at[hot]]
         return out
 
     def open(self, name: str) -> np.ndarray:
@@ -199,7 +228,9 @@ class Model:
         keys = (np.maximum(before, 0).astype(np.uint64) << np.uint64(32)) | np.maximum(ids, 0).astype(np.uint64)
         known = (before >= 0) & (ids >= 0)
         distinct, back = np.unique(keys, return_inverse=True)
-        _, count = self.pairs.find(distinct, self.context_part((distinct >> np.uint64(32)).astype(np.int64)))
+        parts = self.pair_part(distinct)
+        order, count = np.argsort(parts, kind="stable"), np.empty(len(distinct), np.int64)
+        count[order] = self.pairs.find(distinct[order], parts[order])[1]
         count = np.where(known, count[back], 0)
         contexts, at = np.unique(before, return_inverse=True)
         stats = self.context_stats(contexts)[at]
@@ -220,6 +251,8 @@ def _packed(gather, part_of, column: str = "text"):
         def out() -> Iterator[pa.RecordBatch]:
             keys, counts = added(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
             parts = part_of(keys)
+            order = np.argsort(parts, kind="stable")
+            parts, keys, counts = parts[order], keys[order], counts[order]
             cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(keys)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 yield rows(BLOB, part=pa.array(parts[a : a + 1]), blob=[pack(keys[a:b], counts[a:b])])
@@ -284,7 +317,8 @@ def train(texts: DataFrame) -> Model:
             yield _stat(part, keys, counts)
 
     def by_part(df: DataFrame, store) -> list:
-        return df.repartitionById(n, F.col("part")).sortWithinPartitions("part").mapInArrow(store, STATS_DDL).collect()  # a row a part
+        stored = df.repartitionById(n, F.col("part")).sortWithinPartitions("part").mapInArrow(store, STATS_DDL)
+        return stored.groupBy("part").agg(*(F.sum(c).alias(c) for c in STATS.names[1:])).collect()  # a row a part, and one a frequent context
 
     word_part = model.word_part
     found = {r.part: r for r in by_part(texts.mapInArrow(_packed(lambda t: word_hashes(t)[0], word_part), blobs), store_words)}
@@ -292,6 +326,20 @@ def train(texts: DataFrame) -> Model:
     model.ends = texts.count()
     model.train_tokens = model.ends + sum(r.tokens for r in found.values())
     model.distinct = sum(r.size for r in found.values()) + (model.ends > 0)
+    if model.distinct > MOST_WORDS:
+        raise OverflowError(f"{model.distinct} distinct words: ids have room for {MOST_WORDS}")
+    least = model.train_tokens / (4 * n)
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.column("part").to_pylist():
+                ids = np.flatnonzero(arrays.load(f"count-{part}") > least) + int(model.words.first[part]) + 1
+                yield rows(HOT, id=pa.array(ids.astype(np.int64)))
+
+    if found:
+        words_of = spark.createDataFrame([(k,) for k in sorted(found)], "part int").repartitionById(n, F.col("part"))
+        hot = [r.id for r in words_of.mapInArrow(frequent, "id bigint").collect()]  # fewer than four times n
+        model.hot = np.array(sorted([*hot, *([0] if model.ends > least else [])]), np.int64)
 
     def pairs(t: list[bytes]) -> np.ndarray:
         ids, sizes, _ = model.tokens(t)
@@ -302,16 +350,22 @@ def train(texts: DataFrame) -> Model:
     def store_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, keys, counts in _merged(batches):
             arrays.save(f"pair-{part}", keys)
-            arrays.save(f"pairs-{part}", counts.astype(np.uint32))
+            arrays.save(f"pairs-{part}", narrow(counts))
             context = (keys >> np.uint64(32)).astype(np.int64)
             first = np.flatnonzero(np.concatenate([[True], np.diff(context) != 0]))
             stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
             arrays.save(f"context-{part}", context[first])
             arrays.save(f"stats-{part}", stats)
             yield _stat(part, keys, counts)
-
-    whole = lambda keys: model.context_part((keys >> np.uint64(32)).astype(np.int64))
-    stored = by_part(texts.mapInArrow(_packed(pairs, whole), blobs), store_pairs)
+            is_hot, at = model.is_hot(context[first])
+            for i, (total, *seen) in zip(at[is_hot].tolist(), stats[is_hot].tolist(), strict=True):
+                yield rows(STATS, part=[-1 - i], size=[0], tokens=[total], **{f"n{k}": [x] for k, x in zip(range(1, 5), [*seen, 0], strict=True)})
+
+    stored = by_part(texts.mapInArrow(_packed(pairs, model.pair_part), blobs), store_pairs)
+    model.hot_stats = np.zeros((len(model.hot), 4), np.int64)
+    for r in (r for r in stored if r.part < 0):
+        model.hot_stats[-1 - r.part] = r.tokens, r.n1, r.n2, r.n3
+    stored = [r for r in stored if r.part >= 0]
     there = {r.part: r.size for r in stored}
     model.pairs = Sorted(arrays, ("pair", "pairs"), [there.get(k, 0) for k in range(n)])
     for k in set(range(n)) - set(there):

@@ -79,6 +79,26 @@ def test_packed_arrays():
     assert [len(x) for x in unpack(pack(keys[:0], counts[:0]))] == [0, 0]
 
 
+def test_counts_and_words_beyond_32_bits(spark, monkeypatch, odd_docs):
+    keys, counts = np.array([1, 2, 7], np.uint64), np.array([1, (1 << 32) + 5, 3])
+    back = unpack(pack(keys, counts))
+    assert back[1].tolist() == counts.tolist() and ngram.narrow(counts).tolist() == counts.tolist()
+    assert ngram.narrow(counts[:1]).dtype == np.uint32
+    monkeypatch.setattr(ngram, "MOST_WORDS", 3)
+    with pytest.raises(OverflowError):
+        train(odd_docs.select("text"))
+
+
+def test_frequent_contexts_lie_in_many_parts(spark):
+    rows = [(i, " ".join(f"the w{i * 7 % 50 + j}" for j in range(60))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    same(score_held_out(docs).collect(), brute(rows))
+    model = train(docs.select("text"))
+    [the] = model.hot.tolist()
+    parts = model.pair_part((np.uint64(the) << np.uint64(32)) | np.arange(1, 200, dtype=np.uint64))
+    assert set(parts.tolist()) == set(range(model.n)) and model.hot_stats[0, 0] == 40 * 60
+
+
 def test_model_beats_the_base_on_held_out_prose(spark):
     import random
 
