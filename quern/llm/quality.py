@@ -29,9 +29,12 @@ from quern.llm.common import rows, slices, text_of
 SYMBOLS = b"#*$%&|<>"
 ASCII_LETTERS = bytes([*range(0x41, 0x5B), *range(0x61, 0x7B)])
 #: Bands by script: least and most characters per token, most byte-fallback share, least token entropy in bits.
-#: A script whose letters the vocabulary holds only in part may fall back to bytes more often.
+#: A script whose letters the vocabulary holds only in part may fall back to bytes more often; one that it holds not at all
+#: consists of them, so "other" has no bound there. Of Latin prose that is labelled good and passes the base, 3,243 texts of
+#: sf0.1 in four languages have 1.65 characters per token and more, one in a thousand less than 1.80; base64, hex digits,
+#: random letters and bytes read as Latin-1 have 1.35 and less, text whose accents were read in the wrong encoding 1.4.
 BANDS = {
-    "Latin": (1.0, 12.0, 0.20, 3.0),
+    "Latin": (1.5, 12.0, 0.20, 3.0),
     "Cyrillic": (0.8, 12.0, 0.30, 3.0),
     "Greek": (0.5, 12.0, 0.50, 2.5),
     "CJK": (0.25, 6.0, 0.95, 2.5),

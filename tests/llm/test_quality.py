@@ -56,6 +56,29 @@ def test_verdicts(spark, odd_docs):
     assert sorted(map(tuple, kept.select("doc_id").collect())) == sorted((r.doc_id,) for r in quality_rules(odd_docs, PATH).collect() if r.kept)
 
 
+def test_noise_that_passes_the_counts_goes_and_prose_stays(spark):
+    import base64
+    import random
+    import string
+
+    rng = random.Random(1)
+    prose = "The old mill by the river was built by the miller and his family more than two hundred years ago, and it has ground the corn of many farms around since then. Its wheel still turns in spring, when the water is high, and visitors come on Sundays to see how the stones are set."
+    german = "Die alte Mühle am Fluss wurde vor mehr als zweihundert Jahren vom Müller und seiner Familie gebaut, und seitdem hat sie das Korn vieler Höfe der Umgebung gemahlen. Ihr Rad dreht sich im Frühling noch immer, wenn das Wasser hoch steht, und sonntags kommen Besucher, um zu sehen, wie die Steine gesetzt werden."
+    greek = "Ο παλιός μύλος δίπλα στο ποτάμι χτίστηκε από την οικογένεια του μυλωνά πριν από διακόσια χρόνια και αλέθει ακόμα το σιτάρι από τα γύρω χωριά κάθε άνοιξη όταν το νερό είναι ψηλά και οι επισκέπτες έρχονται τις Κυριακές για να δουν πώς δουλεύουν οι μεγάλες πέτρες του μύλου και πώς γίνεται το αλεύρι"
+    go = {
+        "base64": " ".join(base64.b64encode(rng.randbytes(57)).decode() for _ in range(60)), "hex": " ".join(rng.randbytes(8).hex() for _ in range(80)),
+        "letters": " ".join("".join(rng.choices(string.ascii_letters, k=7)) for _ in range(100)), "bytes": " ".join(f"x{rng.randbytes(8).decode('latin1')}" for _ in range(100)),
+        "private use": " ".join("".join(chr(rng.randrange(0xE000, 0xF8FF)) for _ in range(6)) for _ in range(80)), "one word": " ".join(f"ab{'ab' * (i % 3)} ab{'-' * (i % 50)}" for i in range(60)),
+        "wrong encoding": german.replace("e", "é").encode().decode("latin1"),
+    }
+    stay = {"prose": prose, "german": german, "greek": greek, "numbers too": prose + " In 1823 it cost 4,500 and in 1950 it was sold for 125,000."}
+    data = [(i, t) for i, t in enumerate([*go.values(), *stay.values()])]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(data, "doc_id bigint, text string"), PATH).collect()}
+    names = [*go, *stay]
+    assert not any(got[i].base_failed for i in got if names[i] != "one word")
+    assert [names[i] for i in sorted(got) if got[i].kept] == [*stay]
+
+
 @pytest.mark.parametrize(("text", "script"), [("abc", "Latin"), ("日本語", "CJK"), ("Ελλ", "Greek"), ("", "Latin"), ("שלום", "other"), ("привет a", "Cyrillic")])
 def test_script(text, script):
     assert script_of(text) == script
