@@ -34,6 +34,8 @@ from quern.llm.common import Arrays, byte_texts, new_folder, partitions, rows, s
 
 #: Distinct units that a task gathers before it passes their words on, and pieces that a worker keeps at hand.
 GATHERED, AT_HAND = 200_000, 150_000
+#: Distinct words at which a task passes them on even if they came from few units, as in texts without spaces.
+MOST_SEEN = 400_000
 WORDS = pa.schema([("part", pa.int32()), ("word", pa.binary())])
 DONE = pa.schema([("part", pa.int32()), ("words", pa.int64())])
 
@@ -126,6 +128,8 @@ class Words:
                 continue
             sorted_hashes, at, text, ids_at, ids = self._of(int(parts[mine[0]]))
             places = np.searchsorted(sorted_hashes, hashes[mine])
+            if not len(sorted_hashes) or places[-1] == len(sorted_hashes) or (sorted_hashes[places] != hashes[mine]).any():
+                raise KeyError("a word was never encoded: the texts aren't those that the words were built from")
             after = np.minimum(places + 1, len(sorted_hashes) - 1)
             for j in np.flatnonzero((sorted_hashes[after] == hashes[mine]) & (after > places)).tolist():
                 while text[at[places[j]] : at[places[j] + 1]].tobytes() != words[mine[j]]:  # words of one hash
@@ -147,7 +151,8 @@ class Words:
         bad = {p for p in missing if opens_badly(p)}
         missing -= bad
         odd = {k: units(texts[k]) for k, (head, tail) in enumerate(zip(heads, tails, strict=True)) if tail and (opens_badly(head) or not bad.isdisjoint(tail))}
-        wanted = [*map(" ".__add__, missing), *set(heads).union(*odd.values())]
+        alone = {head for k, head in enumerate(heads) if k not in odd}  # the head of an odd text needn't end where a word does
+        wanted = [*map(" ".__add__, missing), *alone.union(*odd.values())]
         words = list(map(find, wanted))
         distinct = list(dict.fromkeys(itertools.chain.from_iterable(words)))
         ids = dict(zip(distinct, self.look_up([w.encode() for w in distinct]), strict=True))
@@ -221,7 +226,7 @@ def build(texts: DataFrame, column: str, path: str, pattern: str) -> Words:
             own = set().union(*(distinct_units(text or "", done) for text in batch.column(column).to_pylist()))
             seen.update(itertools.chain.from_iterable(map(find, own)))
             done.update(u[1:] for u in own if u[:1] == " " and not opens_badly(u[1:]))
-            if len(done) > GATHERED:
+            if len(done) > GATHERED or len(seen) > MOST_SEEN:
                 yield from out()
         yield from out()
 

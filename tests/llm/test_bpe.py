@@ -19,6 +19,24 @@ def test_ids_equal_the_library_and_decode_to_the_text(spark, odd_docs):
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
+def test_a_table_of_one_odd_text(spark):
+    """The head of a text whose pieces open with white space isn't a word by itself."""
+    own = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks(PATH), special_tokens={})
+    for text in ("a\n b", "\n b", "  x", "a  ", "\u3000 z\n\n q", "one"):
+        [r] = bpe_round_trip(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), PATH, P.PATTERN, with_ids=True).collect()
+        assert r.token_ids == own.encode_ordinary(text)
+
+
+def test_texts_without_spaces_are_passed_on(spark, monkeypatch):
+    from quern.llm import bpe
+
+    monkeypatch.setattr(bpe, "MOST_SEEN", 10)
+    docs = spark.createDataFrame([(i, "\n".join(f"w{i}x{j}" for j in range(40))) for i in range(30)], "doc_id bigint, text string")
+    own = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks(PATH), special_tokens={})
+    found = {r.doc_id: r.token_ids for r in bpe_round_trip(docs, PATH, P.PATTERN, with_ids=True).collect()}
+    assert found == {r.doc_id: own.encode_ordinary(r.text) for r in docs.collect()}
+
+
 def test_encode_then_decode(spark, odd_docs):
     decoded = bpe_decode(bpe_encode(odd_docs, PATH, P.PATTERN), PATH).collect()
     assert sorted(bytes(r.decoded).decode() for r in decoded) == sorted(r.text or "" for r in odd_docs.collect())
