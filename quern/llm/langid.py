@@ -2,6 +2,8 @@
 
 Training takes a bounded sample of labelled rows: in each language the SAMPLE rows of the smallest crc32(doc_id).
 The n-grams of a language that are frequent there (the PER_SIZE most frequent of each size) go into its Bloom filter.
+Both are parameters, as is MOST_LANGS: where lang holds more different values, those with the most rows are learned, and the
+others never predicted, so that the model has a bound.
 The filters of all languages share their hash functions and lie bit by bit side by side: slot i holds a mask with a
 bit for each language, so the masks of an n-gram's slots, and-ed, are the set of all languages that contain it.
 
@@ -16,7 +18,6 @@ same result; the empty table gives an empty result. lang is read for training on
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from quern.llm.common import remainder, rows, slices, text_of
 
 SIZES = (2, 3, 4)
-SAMPLE, PER_SIZE, SLOTS, HASHES = 1500, 4000, 1 << 18, 3
+SAMPLE, PER_SIZE, MOST_LANGS, SLOTS, HASHES = 1500, 4000, 512, 1 << 18, 3
 GRAMS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -106,9 +107,9 @@ def _last_of_sample(named: DataFrame, prior: dict[str, int], sample: int) -> dic
     share, found = 2.0, {}
     while True:
         limits = {x: (1 << 32) * min(1.0, share * sample / n) for x, n in prior.items()}
-        within = functools.reduce(lambda c, x: c.when(F.col("lang") == x[0], F.col("rank") < F.lit(x[1])), limits.items(), F.when(F.lit(False), F.lit(False)))
+        within = F.broadcast(named.sparkSession.createDataFrame(list(limits.items()), "lang string, below double"))  # MOST_LANGS rows at most
         order = Window.partitionBy("lang").orderBy("rank", "doc_id")
-        ranked = ids.where(within).withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
+        ranked = ids.join(within, "lang").where(F.col("rank") < F.col("below")).withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
         rows_of = ranked.groupBy("lang").agg(F.max(F.struct("rank", "doc_id")).alias("last"), F.count("*").alias("n")).collect()
         found = {r.lang: (r.last.rank, r.last.doc_id) for r in rows_of}
         enough = {r.lang for r in rows_of if r.n >= sample}
@@ -117,11 +118,11 @@ def _last_of_sample(named: DataFrame, prior: dict[str, int], sample: int) -> dic
         share *= 8
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
+def train(docs: DataFrame, sample: int = SAMPLE, per_size: int = PER_SIZE, most_langs: int = MOST_LANGS) -> Filters:
     """Filters from at most that many labelled rows of each language, those of the smallest crc32(doc_id)."""
     named = text_of(docs, "doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL").where(remainder(F.col("doc_id"), 5) != 0)
-    prior = {r[0]: r[1] for r in named.groupBy("lang").count().collect()}
-    last = _last_of_sample(named, prior, sample)
+    prior = {r[0]: r[1] for r in named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs).collect()}
+    last = _last_of_sample(named, prior, sample) if prior else {}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, int], list[np.ndarray]] = {}
@@ -136,7 +137,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
 
     counted = named.where("doc_id IS NOT NULL").mapInArrow(count, "lang string, size int, gram bigint, n bigint").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     most = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
-    top = counted.withColumn("k", F.row_number().over(most)).where(F.col("k") <= PER_SIZE).select("lang", "gram").collect()
+    top = counted.withColumn("k", F.row_number().over(most)).where(F.col("k") <= per_size).select("lang", "gram").collect()
     langs = sorted(prior)
     of: dict[str, list[int]] = {x: [] for x in langs}
     for r in top:

@@ -72,3 +72,12 @@ def test_the_sample_is_bounded_and_by_rank(spark):
         mine = {g for t in chosen[lang] for n in SIZES for g in grams(t, n).tolist()}
         mask = few.containing(np.array(sorted(mine), np.uint64))[0]
         assert ((mask >> np.uint64(i)) & np.uint64(1)).mean() == 1 and len(mine) < langid.PER_SIZE
+
+
+def test_only_the_languages_with_the_most_rows_are_learned(spark):
+    from quern.llm.langid import train
+
+    rows = [(i, f"words of tongue {i % 3} " * 5, ["aa", "bb", "cc"][min(i % 5, 2)]) for i in range(60)] + [(100 + i, "junk", f"dirty{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert train(docs, most_langs=2).langs == ["aa", "cc"] or train(docs, most_langs=2).langs == ["bb", "cc"]
+    assert len(train(docs, per_size=5).langs) > 20
