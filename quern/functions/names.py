@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import json
 import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quern.functions.bind import let
 from quern.functions.urls import stripped
 
 # Spellings that are brought together before anything else, in order.
@@ -48,18 +50,22 @@ def _folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
             to.append(folded)
         elif not folded:
             gone.append(c)
-        elif point in range(0xFB00, 0xFB07) or point in range(0x132, 0x14A) or point in (0x2122, 0x2116, 0x1C4, 0x1C5, 0x1C6):
+        else:
             many.append((c, folded))
     return "".join(one + gone), "".join(to), tuple(many)
 
 
 def folded(text: Column) -> Column:
-    """Letters without their marks and compatibility forms, on the JVM: one translate() and a few ligatures."""
+    """Letters without their marks and compatibility forms, on the JVM: one translate(), and for the few texts with
+    characters that fold to several (ligatures, circled words, units) a look-up of each character."""
     source, target, many = _folds()
-    text = F.translate(text, source, target)
-    for c, plain in many:
-        text = F.replace(text, F.lit(c), F.lit(plain))
-    return text
+    several = "[" + "".join(f"\\x{{{ord(c):X}}}" for c, _ in many) + "]"
+
+    def spelled(text: Column) -> Column:
+        plain = F.from_json(F.lit(json.dumps(dict(many))), "map<string,string>")  # a constant
+        return F.when(text.rlike(several), F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.element_at(plain, c), c)), "")).otherwise(text)
+
+    return let(F.translate(text, source, target), spelled)
 
 
 def entity_name(name: Column, *, fold: bool = True, unicode_words: bool = True) -> Column:

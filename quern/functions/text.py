@@ -21,10 +21,15 @@ def token_estimate(text: Column, *, length: Column | None = None) -> Column:
 
     The length is taken in UTF-16 units unless another is given.
     """
-    n = utf16_length(text) if length is None else length
-    words = F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
-    estimate = F.greatest(F.ceil(n / F.lit(3.7)), F.ceil(words * F.lit(1.35)), F.lit(1))
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(estimate).cast("bigint")
+
+
+    def estimated(text: Column) -> Column:
+        n = utf16_length(text) if length is None else length
+        words = F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
+        estimate = F.greatest(F.ceil(n / F.lit(3.7)), F.ceil(words * F.lit(1.35)), F.lit(1))
+        return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(estimate).cast("bigint")
+
+    return let(text, estimated)
 
 
 def safe_budget(total: Column, prompt: int = RESERVED_PROMPT, output: int = RESERVED_OUTPUT) -> Column:
@@ -91,6 +96,7 @@ def low_information(value: Column, kind: str) -> Column:
     return value.isNull() | (F.size(value) == 0) if kind in ("array", "map") else value.isNull()
 
 
+# The named references that are decoded, in order.
 ENTITIES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "))
 
 
@@ -117,6 +123,7 @@ def html_title(html: Column) -> Column:
     return F.nullif(unescaped(stripped(F.regexp_extract(html, r"(?i)<title[^>]*>([\s\S]*?)</title>", 1))), F.lit(""))
 
 
+# Fixed value: a meta tag that gives its name before its content.
 META = r"""(?i)<meta\s+[^>]*?(?:name|property)=["']([^"']+)["'][^>]*?content=["']([^"']*)["'][^>]*>"""
 
 

@@ -41,12 +41,18 @@ def _encoded(text: Column) -> Column:
 
 
 def resolve_url(url: Column, base: Column) -> Column:
-    """A reference made absolute by RFC 3986."""
+    """A reference made absolute by RFC 3986; one that is malformed (an open bracket, say) comes back as it is."""
+
+    def one(url: str | None, base: str | None) -> str | None:
+        try:
+            return url if url is None or not base else urljoin(base, url)
+        except ValueError:
+            return url
 
     @F.pandas_udf(StringType())
     def joined(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for urls, bases in parts:
-            yield pd.Series([u if u is None or not b else urljoin(b, u) for u, b in zip(urls, bases, strict=True)], dtype=object)
+            yield pd.Series([one(u, b) for u, b in zip(urls, bases, strict=True)], dtype=object)
 
     return joined(url, base)
 

@@ -1,7 +1,8 @@
 """Token buckets and pacing, simulated over arrivals.
 
 A bucket is a fold over a key's arrivals in time order. Arrivals come sorted to the task, batch by batch, and only the
-bucket's state is kept, so a key of any size runs in constant memory.
+bucket's state is kept, so a key of any size runs in constant memory. A bucket's answer depends on all before it: a key is
+one task, and keys are dealt over tasks. Times are whole microseconds.
 """
 
 from __future__ import annotations
@@ -45,15 +46,15 @@ def pacing(arrivals: DataFrame, key: str, at: str, tie: str, *, spacing: float =
     """key, id, t and starts: when each request may start, if a host's requests stand that many seconds apart at least."""
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, free = None, 0.0
+        current, free, step = None, 0, round(spacing * 1e6)
         for frame in frames:
             starts = []
-            for k, t in zip(frame["key"], frame["t"] / 1e6, strict=True):
+            for k, t in zip(frame["key"].tolist(), frame["t"].tolist(), strict=True):
                 if current is None or k != current[0]:
                     current, free = (k,), t
                 begins = max(t, free)
-                free = begins + spacing
-                starts.append(begins)
+                free = begins + step
+                starts.append(begins / 1e6)
             yield frame.assign(t=frame["t"] / 1e6, starts=starts)[["key", "id", "t", "starts"]]
 
     return _folded(arrivals, key, at, tie, "key string, id bigint, t double, starts double", fold)

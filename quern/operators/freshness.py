@@ -23,6 +23,11 @@ def gate_dated(published: Column, reference: Column, *, hours: int = WINDOW_HOUR
     return F.when(published.isNull(), F.lit(None).cast("string")).when(fresh, F.lit("accepted_verified")).otherwise(F.lit("rejected_stale"))
 
 
+def is_future(published: Column, reference: Column, *, skew: int = SKEW_MINUTES) -> Column:
+    """Whether a date lies further ahead than clocks may differ; null if undated."""
+    return published > reference + _minutes(skew)
+
+
 def freshness(published: Column, confidence: Column, method: Column, reference: Column, *, last_success: Column, seen: Column, first_seen: Column, position: Column, hours: int = WINDOW_HOURS, skew: int = SKEW_MINUTES) -> Column:
     """A struct of decision, published_at, confidence and method.
 

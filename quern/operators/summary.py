@@ -40,6 +40,14 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
     return df.withColumn("status", run_status(F.col("candidates_fetched"), F.col("accepted_count"), F.col("error_count")))
 
 
+def run_history(history: DataFrame, summaries: DataFrame, started_at: Column, completed_at: Column) -> DataFrame:
+    """The history of runs and a row for each of summaries: run_id (of source and start), source_id, status, both times and the
+    summary as JSON. A run that is there already stays as it is, so that a repeated append does no harm."""
+    run_id = F.sha2(F.concat_ws("|", "source_id", started_at.cast("string")), 256)
+    new = summaries.select(run_id.alias("run_id"), "source_id", "status", started_at.alias("started_at"), completed_at.alias("completed_at"), F.to_json(F.struct(*summaries.columns)).alias("summary_json"))
+    return history.unionByName(new.join(history.select("run_id"), "run_id", "left_anti"))
+
+
 def rejection_breakdown(outcomes: DataFrame) -> DataFrame:
     """source_id and a map from the reason of a rejection to its count, built from one row for each reason."""
     rejected = outcomes.where(~is_accepted(F.col("outcome")) & (F.col("outcome") != "error"))

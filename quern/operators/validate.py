@@ -117,25 +117,31 @@ class Schema:
         return out
 
 
-def _source() -> dict:
-    return {"type": "object", "required": ["name", "url"], "properties": {"name": {"type": "string", "minLength": 1}, "url": {"type": "string", "minLength": 1}}}
+# What an extracted record of each kind must have, and of which type.
+_TEXT, _NAME, _COUNT = {"type": "string"}, {"type": "string", "minLength": 1}, {"type": "integer", "minimum": 0}
+_CONTENTS = {
+    "STARTUP": (["entityName"], {"entityName": _NAME, "data": {"type": "object", "properties": {"employeeCount": {"anyOf": [_COUNT, {"type": "null"}]}}}}),
+    "PRODUCT": (["startupName", "pricingModel"], {"startupName": _NAME, "pricingModel": {"type": "string", "enum": ["FREE", "FREEMIUM", "PAID", "ENTERPRISE"]}}),
+    "RESEARCH_PAPER": (
+        ["title", "authors", "paper_url", "github_stars", "published_date"],
+        {"title": _NAME, "authors": {"type": "array", "items": _TEXT}, "paper_url": _NAME, "github_url": {"anyOf": [_TEXT, {"type": "null"}]}, "github_stars": _COUNT, "published_date": _TEXT},
+    ),
+    "JOB": (["company", "date", "is_remote", "role_family"], {"company": _NAME, "date": _TEXT, "is_remote": {"type": "boolean"}, "role_family": _NAME}),
+}
 
 
 def canonical_schema(kind: str) -> dict:
-    """The schema of extracted records of a kind: stricter than the rules of collection (no coercion, papers need a source)."""
-    count = {"anyOf": [{"type": "integer", "minimum": 0}, {"type": "null"}]}
-    contents = {
-        "STARTUP": {"required": ["entityName", "data"], "properties": {"entityName": {"type": "string", "minLength": 1}, "data": {"type": "object", "required": ["employeeCount"], "properties": {"employeeCount": count}}}},
-        "PRODUCT": {"required": ["startupName", "pricingModel"], "properties": {"startupName": {"type": "string", "minLength": 1}, "pricingModel": {"type": "string", "enum": ["FREE", "FREEMIUM", "PAID", "ENTERPRISE"]}}},
-        "RESEARCH_PAPER": {
-            "required": ["title", "authors", "paper_url", "github_stars"],
-            "properties": {"title": {"type": "string", "minLength": 1}, "authors": {"type": "array", "items": {"type": "string"}}, "paper_url": {"type": "string", "minLength": 1}, "github_url": {"anyOf": [{"type": "string"}, {"type": "null"}]}, "github_stars": {"type": "integer", "minimum": 0}},
-        },
-        "JOB": {"required": ["company"], "properties": {"company": {"type": "string", "minLength": 1}, "is_remote": {"type": "boolean"}}},
-    }
+    """The schema of extracted records of a kind: stricter than the rules of collection (no coercion, papers need a source). Jobs
+    may lack a source and the time of collection."""
+    required, properties = _CONTENTS[kind]
+    loose = kind == "JOB"
+    source = {"type": "object", "properties": {"name": _TEXT, "url": _TEXT}} if loose else {"type": "object", "required": ["name", "url"], "properties": {"name": _NAME, "url": _NAME}}
     return {
-        "type": "object", "required": ["schemaVersion", "recordType", "source", "content", "collectedAt"],
-        "properties": {"schemaVersion": {"const": "1.0"}, "recordType": {"const": kind}, "source": _source(), "content": {"type": "object", **contents[kind]}, "collectedAt": {"type": "string", "minLength": 1}},
+        "type": "object", "required": ["schemaVersion", "recordType", "content"] if loose else ["schemaVersion", "recordType", "source", "content", "collectedAt"],
+        "properties": {
+            "schemaVersion": {"type": "string", "enum": ["1.0"]}, "recordType": {"type": "string", "enum": [kind]}, "source": source,
+            "content": {"type": "object", "required": required, "properties": properties}, "collectedAt": _TEXT,
+        },
     }
 
 

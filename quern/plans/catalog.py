@@ -170,9 +170,9 @@ def bulk_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH e AS (SELECT event_id, event_type AS source_id, concat('u', user_id) AS canonical_url_hash, value, props, concat(event_type, user_id % 40, '-', event_id % 3) AS content_hash FROM events),
-    t AS (SELECT source_id, canonical_url_hash, arg_min(event_id, event_id) AS id, arg_min(value, event_id) AS value, arg_min(content_hash, event_id) AS content_hash FROM e WHERE event_id < 500 GROUP BY ALL),
+    t AS (SELECT source_id, canonical_url_hash, arg_min(event_id, event_id) AS id, arg_min(value, event_id) AS value, arg_min(content_hash, event_id) AS content_hash FROM e WHERE event_id % 2 = 0 GROUP BY ALL),
     t1 AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY source_id, canonical_url_hash) = 1),
-    b AS (SELECT source_id, canonical_url_hash, max(event_id) AS id, arg_max(value, event_id) AS value, arg_max(content_hash, event_id) AS content_hash FROM e WHERE event_id BETWEEN 500 AND 900 GROUP BY ALL),
+    b AS (SELECT source_id, canonical_url_hash, max(event_id) AS id, arg_max(value, event_id) AS value, arg_max(content_hash, event_id) AS content_hash FROM e WHERE event_id % 2 = 1 GROUP BY ALL),
     new AS (SELECT b.* FROM b ANTI JOIN t1 USING (source_id, canonical_url_hash) WHERE b.content_hash NOT IN (SELECT content_hash FROM t1) QUALIFY row_number() OVER (PARTITION BY b.content_hash ORDER BY b.source_id, b.canonical_url_hash) = 1)
     SELECT t1.source_id, t1.canonical_url_hash, t1.id, coalesce(b.value, t1.value) AS value, coalesce(b.content_hash, t1.content_hash) AS content_hash FROM t1 LEFT JOIN b USING (source_id, canonical_url_hash)
     UNION ALL SELECT source_id, canonical_url_hash, id, value, content_hash FROM new"""
@@ -182,9 +182,9 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("id"), F.col("event_type").alias("source_id"), F.expr("concat('u', user_id)").alias("canonical_url_hash"), "value", F.expr("concat(event_type, user_id % 40, '-', event_id % 3)").alias("content_hash"), F.col("event_id").alias("ingested_at")
     )
     cols = ["source_id", "canonical_url_hash", "id", "value", "content_hash", "ingested_at"]
-    first = e.where("id < 500").groupBy("source_id", "canonical_url_hash").agg(F.min_by(F.struct("id", "value", "content_hash", "ingested_at"), "id").alias("r")).select("source_id", "canonical_url_hash", "r.*")
+    first = e.where("id % 2 = 0").groupBy("source_id", "canonical_url_hash").agg(F.min_by(F.struct("id", "value", "content_hash", "ingested_at"), "id").alias("r")).select("source_id", "canonical_url_hash", "r.*")
     target = dedup.keep_first(first.select(*cols), "content_hash", ["source_id", "canonical_url_hash"]).select(*cols)
-    return dedup.upsert(target, e.where("id BETWEEN 500 AND 900").select(*cols)).drop("ingested_at")
+    return dedup.upsert(target, e.where("id % 2 = 1").select(*cols)).drop("ingested_at")
 
 
 # --- Freshness and runs ----------------------------------------------------------------------------------------------
@@ -403,7 +403,7 @@ def job_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REDACTED = "text"
 for _p in text.SECRETS:
     _REDACTED = f"regexp_replace({_REDACTED}, '{_p}', '[REDACTED]', 'g')"
-_LACED = "CASE doc_id % 5 WHEN 0 THEN concat('sk-', repeat('a1', 20), ' ', left(text, 100)) WHEN 1 THEN concat(left(text, 50), ' bearer abc.DEF-1 x') WHEN 2 THEN concat('AIza', repeat('x', 35), repeat('y', 300)) WHEN 3 THEN concat('gsk_', repeat('z', 31)) ELSE left(text, 150) END"
+_LACED = "CASE doc_id % 5 WHEN 0 THEN concat('sk-', repeat('a1', 20), ' ', text) WHEN 1 THEN concat(text, ' bearer abc.DEF-1 x') WHEN 2 THEN concat('AIza', repeat('x', 35), repeat('y', 300), ' ', text) WHEN 3 THEN concat(text, ' gsk_', repeat('z', 31)) ELSE text END"
 
 
 @query(f"SELECT doc_id, CASE WHEN length(r) > 200 THEN concat(left(r, 200), '... [TRUNCATED ', length(r), ' chars]') ELSE r END AS text FROM (SELECT doc_id, {_REDACTED} AS r FROM (SELECT doc_id, {_LACED} AS text FROM documents))")
@@ -434,6 +434,44 @@ def json_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), schema.message(F.parse_json(record)).alias("errors"))
 
 
+_KINDS = ("STARTUP", "PRODUCT", "RESEARCH_PAPER", "JOB")
+#: The content of a valid record of each kind but for its last field, and that.
+_PARTS = {
+    "STARTUP": ('"data": {"employeeCount": null}', '"entityName": "e"', "entityName"), "PRODUCT": ('"startupName": "e"', '"pricingModel": "FREE"', "pricingModel"),
+    "RESEARCH_PAPER": ('"title": "e", "authors": ["a"], "paper_url": "u", "github_stars": 1', '"published_date": "d"', "published_date"), "JOB": ('"company": "c", "date": "d", "is_remote": true', '"role_family": "r"', "role_family"),
+}
+
+
+@query(
+    "SELECT p_partkey AS id, CASE p_partkey // 4 % 4 WHEN 1 THEN '/schemaVersion must be equal to one of the allowed values' WHEN 2 THEN concat('/content must have required property ''', CASE p_partkey % 4 "
+    + " ".join(f"WHEN {i} THEN '{_PARTS[k][2]}'" for i, k in enumerate(_KINDS))
+    + " END, '''') WHEN 3 THEN CASE WHEN p_partkey % 4 = 3 THEN '' ELSE '/ must have required property ''source''; / must have required property ''collectedAt''' END ELSE '' END AS errors FROM part"
+)
+def canonical_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the four kinds: valid, of another version, without their last field, without source and time."""
+    df = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (F.floor(F.col("p_partkey") / 4) % 4).alias("v"))
+    errors = F.lit(None).cast("string")
+    for i, kind in enumerate(_KINDS):
+        most, last, _ = _PARTS[kind]
+        content = F.when(F.col("v") == 2, F.lit(f"{{{most}}}")).otherwise(F.lit(f"{{{most}, {last}}}"))
+        version = F.when(F.col("v") == 1, F.lit("2.0")).otherwise(F.lit("1.0"))
+        rest = F.when(F.col("v") == 3, F.lit("")).otherwise(F.lit(', "source": {"name": "n", "url": "u"}, "collectedAt": "t"'))
+        record = F.concat(F.lit('{"schemaVersion": "'), version, F.lit(f'", "recordType": "{kind}", "content": '), content, rest, F.lit("}"))
+        errors = F.when(F.col("id") % 4 == i, validate.Schema(validate.canonical_schema(kind)).message(F.parse_json(record))).otherwise(errors)
+    return df.select("id", errors.alias("errors"))
+
+
+@query(
+    """SELECT CASE WHEN n = 1 THEN 1 ELSE 2 END AS place, key, concat('  ', CASE WHEN n > 1 THEN ',' ELSE '' END, line) AS value FROM (SELECT *, row_number() OVER (ORDER BY key NULLS FIRST, line) AS n FROM
+        (SELECT CASE WHEN p_size > 5 THEN p_size END AS key, concat('{"size":', coalesce(CAST(CASE WHEN p_size > 5 THEN p_size END AS VARCHAR), 'null'), ',"brand":"', p_brand, '"}') AS line FROM part))
+    UNION ALL SELECT 0, NULL, '[' UNION ALL SELECT 3, NULL, ']'"""
+)
+def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an array of rows that share their place in the order, have none, or are the same."""
+    df = table(spark, sf_dir, "part").select(F.when(F.col("p_size") > 5, F.col("p_size")).alias("size"), F.col("p_brand").alias("brand"))
+    return export.json_lines(df, "size")
+
+
 @query(
     """SELECT l_orderkey, arg_max(l_shipinstruct, (length(trim(l_shipinstruct)), -l_linenumber)) FILTER (trim(l_shipinstruct) != '') AS longest, max(l_quantity) AS most, list_sort(list(DISTINCT l_returnflag)).array_to_string(',') AS flags, count(*) AS n
     FROM (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 10000 + l_suppkey AS l_linenumber, CASE WHEN l_partkey % 3 = 0 THEN '  ' ELSE repeat('x', CAST(l_partkey % 17 AS INT)) || l_suppkey END AS l_shipinstruct, l_quantity, l_returnflag FROM lineitem) GROUP BY l_orderkey"""
@@ -536,13 +574,28 @@ def retry_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", politeness.retry_after_ms(header, _reference()).alias("ms"))
 
 
-@query()
+def _bucket_sql(t: str, result: str) -> str:
+    """Arrivals one after another: t is the time in whole microseconds, tokens are counted in millionths."""
+    left = "least(1e7, s.tokens + (a.t - s.t) * 5.0)"
+    return f"""WITH RECURSIVE a AS MATERIALIZED (SELECT event_type AS key, event_id AS id, {t} AS t, row_number() OVER (PARTITION BY event_type ORDER BY {t}, event_id) AS rn FROM events),
+    s AS (SELECT key, id, t, rn, true AS allowed, CAST(9e6 AS DOUBLE) AS tokens FROM a WHERE rn = 1
+        UNION ALL SELECT a.key, a.id, a.t, a.rn, {left} >= 1e6, {left} - CASE WHEN {left} >= 1e6 THEN 1e6 ELSE 0 END FROM s JOIN a ON a.key = s.key AND a.rn = s.rn + 1) {result}"""
+
+
+def _micros_sql(slower: int) -> str:
+    return f"CAST(trunc(CAST(floor(epoch(ts)) AS BIGINT) / {slower} * 1e6) AS BIGINT)"
+
+
+@query(_bucket_sql(_micros_sql(200), "SELECT key, id, t / 1e6 AS t, allowed, tokens / 1e6 AS tokens FROM s"))
 def token_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = table(spark, sf_dir, "events").select("event_type", "event_id", F.expr("timestamp_seconds(unix_seconds(CAST(ts AS timestamp)) / 200)").alias("at"))
     return buckets.token_bucket(arrivals, "event_type", "at", "event_id")
 
 
-@query()
+@query(
+    f"""SELECT key, id, t / 1e6 AS t, (200000 * n + max(t - 200000 * n) OVER (PARTITION BY key ORDER BY n ROWS UNBOUNDED PRECEDING)) / 1e6 AS starts
+    FROM (SELECT event_type AS key, event_id AS id, {_micros_sql(5000)} AS t, row_number() OVER (PARTITION BY event_type ORDER BY {_micros_sql(5000)}, event_id) - 1 AS n FROM events)"""
+)
 def pacing(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = table(spark, sf_dir, "events").select("event_type", "event_id", F.expr("timestamp_seconds(unix_seconds(CAST(ts AS timestamp)) / 5000)").alias("at"))
     return buckets.pacing(arrivals, "event_type", "at", "event_id")
@@ -674,6 +727,11 @@ def _tab_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.withColumn("name", urls.stripped(F.col("name"))).withColumn("collected_at", F.lit("2024-01-15T00:00:00Z")).withColumn("authors", F.array(F.lit("A"), F.lit("B"))).withColumn("published_date", F.lit("2024"))
 
 
+@query(f"SELECT '1.0' AS \"schemaVersion\", kind AS \"recordType\", source_name, source_url, '2024-01-15T00:00:00Z' AS \"collectedAt\", trim(name) AS \"entityName\", CASE WHEN employees = '12' THEN '12' ELSE '' END AS \"employeeCount\" FROM ({_RECORDS}) WHERE kind = 'STARTUP'")
+def flat_startups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.flat_records(_tab_records(spark, sf_dir), "STARTUP")
+
+
 @query(f"SELECT '' AS \"canonicalId\", '' AS \"canonicalName\", trim(name) AS \"rawEntityName\", CASE WHEN employees = '12' THEN '12' ELSE '' END AS \"employeeCount\", source_name AS \"sourceName\", source_url AS \"sourceUrl\", '2024-01-15T00:00:00Z' AS \"collectedAt\", 'UNRESOLVED' AS \"matchStrategy\", CAST(0 AS DOUBLE) AS confidence FROM ({_RECORDS}) WHERE kind = 'STARTUP'")
 def tab_startups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.startups_tab(_tab_records(spark, sf_dir), spark.createDataFrame(SEED_ROWS, SEED))
@@ -741,15 +799,24 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.run_to_end(gated, "gate", stream.work_folder(spark))
 
 
-@query("SELECT event_type AS source_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type")
+#: A run's items are known if the run before accepted their address. Runs in a row in which an address stands within the last
+#: place, from the second run on, take turns: accepted, known, accepted and so on.
+_UNDATED_SQL = """WITH e AS (SELECT event_type AS source_id, date_trunc('day', ts) AS run_at, sha256(CAST(user_id AS VARCHAR)) AS url_hash, CAST(event_id % 40 AS INT) AS position, dense_rank() OVER (PARTITION BY event_type ORDER BY date_trunc('day', ts)) AS r FROM events),
+    k AS (SELECT *, r - row_number() OVER (PARTITION BY source_id, url_hash ORDER BY r) AS chain FROM (SELECT DISTINCT source_id, url_hash, r FROM e WHERE position <= 25 AND r > 1)),
+    won AS (SELECT source_id, url_hash, r + 1 AS r FROM (SELECT *, row_number() OVER (PARTITION BY source_id, url_hash, chain ORDER BY r) AS nth FROM k) WHERE nth % 2 = 1),
+    m AS (SELECT e.*, CASE WHEN e.r = 1 THEN 'heuristic_missing_baseline' WHEN won.r IS NOT NULL THEN 'heuristic_previously_observed' WHEN position > 25 THEN 'heuristic_deep_listing_position' ELSE 'heuristic_stateful_new_since_last_run' END AS method FROM e LEFT JOIN won USING (source_id, url_hash, r))
+    SELECT source_id, strftime(run_at, '%Y-%m-%d') AS run_day, url_hash, position, CASE WHEN method LIKE '%last_run' THEN 'accepted_inferred' ELSE 'rejected_unknown' END AS decision, method FROM m"""
+
+
+@query(_UNDATED_SQL)
 def stream_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days are runs of a source; every item is judged once."""
     items = _event_stream(spark, sf_dir).select(F.col("event_type").alias("source_id"), F.date_trunc("day", "ts").alias("run_at"), F.sha2(F.col("user_id").cast("string"), 256).alias("url_hash"), (F.col("event_id") % 40).cast("int").alias("position"))
     done = stream.run_to_end(stream.undated_gate(items), "undated", stream.work_folder(spark))
-    return done.groupBy("source_id").agg(F.count("*").alias("n"))
+    return done.select("source_id", F.date_format("run_at", "yyyy-MM-dd").alias("run_day"), "url_hash", "position", "decision", "method")
 
 
-@query("SELECT event_type AS key, count(*) AS n FROM events GROUP BY event_type")
+@query(_bucket_sql("epoch_us(ts)", "SELECT key, allowed, count(*) AS n FROM s GROUP BY ALL"))
 def stream_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = stream.run_to_end(stream.bucket(_event_stream(spark, sf_dir), "event_type", "ts"), "bucket", stream.work_folder(spark))
-    return done.groupBy("key").agg(F.count("*").alias("n"))
+    return done.groupBy("key", "allowed").agg(F.count("*").alias("n"))

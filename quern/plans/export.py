@@ -104,13 +104,25 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_json_array(df: DataFrame, order: str, path: str) -> None:
-    """Text parts that, one after another, are one JSON array: rows in order, a comma after each but the last."""
-    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    last = df.agg(F.max(order).alias("_last_"))
-    body = df.crossJoin(F.broadcast(last)).select(F.lit(1).alias("_k_"), F.col(order).alias("_o_"), F.concat(F.lit("  "), line, F.when(F.col(order) < F.col("_last_"), F.lit(",")).otherwise(F.lit(""))).alias("value"))
+    """Text parts that, one after another, are one JSON array."""
+    json_lines(df, order).orderBy("place", "key", "value").select("value").write.mode("overwrite").text(path)
+
+
+def json_lines(df: DataFrame, order: str) -> DataFrame:
+    """place, key and value: the lines of a JSON array, which are in order by these three columns.
+
+    Rows come in order, null first and ties by their text, with a comma before each but the first. Which row is the first is
+    a minimum, so rows needn't be numbered; rows that equal it are written from their count.
+    """
+    rows = df.select(F.col(order).alias("key"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"))
+    first = rows.groupBy("key", "line").agg(F.count("*").alias("n")).agg(F.min(F.struct("key", "line", "n")).alias("first")).where("first IS NOT NULL").select("first.*")
+    opened = first.select(F.lit(1).alias("place"), "key", F.concat(F.lit("  "), "line").alias("value"))
+    same = first.select(F.lit(2).alias("place"), "key", F.explode(F.array_repeat(F.concat(F.lit("  ,"), "line"), (F.col("n") - 1).cast("int"))).alias("value"))
+    one = first.select(F.col("key").alias("key_"), F.col("line").alias("line_"))
+    rest = rows.join(F.broadcast(one), F.col("key").eqNullSafe(F.col("key_")) & (F.col("line") == F.col("line_")), "left_anti")
     kind = df.schema[order].dataType.simpleString()
-    frame = df.sparkSession.createDataFrame([(0, None, "["), (2, None, "]")], f"_k_ int, _o_ {kind}, value string")
-    body.unionByName(frame).orderBy("_k_", "_o_").select("value").write.mode("overwrite").text(path)
+    frame = df.sparkSession.createDataFrame([(0, None, "["), (3, None, "]")], f"place int, key {kind}, value string")
+    return opened.union(same).union(rest.select(F.lit(2), "key", F.concat(F.lit("  ,"), "line"))).union(frame)
 
 
 def write_workbook(tabs: dict[str, DataFrame], path: str) -> DataFrame:

@@ -131,7 +131,7 @@ def directory_records(payloads: DataFrame, source: str, site: str) -> DataFrame:
     """Startups of an object of objects {cik_str, ticker, title}; at most batch_count of each payload, if that is given."""
     companies = F.map_values(F.from_json("body", "map<string,struct<cik_str:string,ticker:string,title:string>>"))
     named = F.filter(companies, lambda c: stripped(F.coalesce(c["title"], F.lit(""))) != "")
-    bounded = F.slice(named, 1, F.coalesce(F.col("batch_count"), F.lit(1000)).cast("int"))
+    bounded = F.when(F.col("batch_count").isNull(), named).otherwise(F.slice(named, F.lit(1), F.greatest(F.col("batch_count").cast("int"), F.lit(0))))
     each = payloads.select(F.explode(bounded).alias("c"))
     return each.select(*_record("STARTUP", title_case(stripped(F.col("c.title"))), source, F.concat(F.lit(site), F.lpad(F.col("c.cik_str"), 10, "0"))))
 
@@ -164,6 +164,24 @@ def repository_records(payloads: DataFrame, source: str) -> DataFrame:
     return each.where((name != "") & (F.coalesce(url, F.lit("")) != "")).select(*_record("PRODUCT", shown, source, canonical_url(url), pricing=F.lit("FREE"), stars=F.col("r.stargazers_count")))
 
 
+def unreadable(payloads: DataFrame) -> DataFrame:
+    """The payloads that paper_records passes over, as they are no XML: their columns and error."""
+
+    @F.pandas_udf("string")
+    def failed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def one(body: str | None) -> str | None:
+            try:
+                ET.fromstring((body or "").strip())
+            except ET.ParseError as e:
+                return f"ParseError: {e}"
+            return None
+
+        for bodies in parts:
+            yield pd.Series([one(b) for b in bodies], dtype=object)
+
+    return payloads.withColumn("error", failed(F.col("body"))).where("error IS NOT NULL")
+
+
 def catalog_records(payloads: DataFrame, source: str, site: str) -> DataFrame:
     """Products of a software directory's listings."""
 
@@ -177,7 +195,7 @@ def catalog_records(payloads: DataFrame, source: str, site: str) -> DataFrame:
 
 
 def paper_records(payloads: DataFrame, source: str, stats: DataFrame | None = None) -> DataFrame:
-    """Papers of Atom payloads; stars of the first repository in summary or comment from stats (slug, stars), 0 without one."""
+    """Papers of Atom payloads (unreadable() gives those that are none); stars of the first repository in summary or comment from stats (slug, stars), 0 without one."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -222,6 +240,22 @@ REGISTRY = {
 }
 
 
+#: Other names that a selection may use.
+ALIASES = {"paper": "papers", "research_paper": "papers", "startup": "startups", "product": "products"}
+#: What is run for a type of record.
+OF_TYPE = {"papers": ("papers",), "startups": ("knowledge_base", "directory"), "products": ("catalog", "repositories")}
+
+
+def selected(kind: str = "all") -> tuple[str, ...]:
+    """The sources of a type of record by name or alias; all of them for ``all``."""
+    if kind == "all":
+        return tuple(x for names in OF_TYPE.values() for x in names)
+    kind = ALIASES.get(kind, kind)
+    if kind not in OF_TYPE:
+        raise ValueError(f"no type of record is called {kind}; there are {', '.join(sorted(OF_TYPE))}")
+    return OF_TYPE[kind]
+
+
 def source(name: str):
     if name not in REGISTRY:
         raise ValueError(f"no source is called {name}; there are {', '.join(sorted(REGISTRY))}")

@@ -27,7 +27,10 @@ def allowed(urls: DataFrame, rules: DataFrame, agent: str, *, url: str = "url")
             if body not in parsers:
                 parsers[body] = RobotFileParser()
                 parsers[body].parse(body.splitlines())
-            return parsers[body].can_fetch(agent, address)
+            try:
+                return parsers[body].can_fetch(agent, address)
+            except ValueError:  # a malformed address: nothing forbids it
+                return True
 
         for addresses, bodies in parts:
             yield pd.Series([one(a, b) for a, b in zip(addresses, bodies, strict=True)], dtype=bool)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quern.operators.freshness import GRACE_MINUTES, LAST_PLACE, gate_dated
+from quern.operators.freshness import LAST_PLACE, gate_dated
 
 
 def first_arrivals(stream: DataFrame, key: str, at: str, delay: str = "1 day") -> DataFrame:
@@ -33,21 +33,25 @@ def undated_gate(stream: DataFrame) -> DataFrame:
 
     A run's items are judged by the run before it: the first is the baseline and rejects all; an item that the last run
     accepted is known; items beyond the last place are rejected. The snapshot is the last run's accepted items only. Runs of a
-    source are taken in order of run_at; late ones (run_at at or before the last) are rejected as stale.
+    source are taken in order of run_at. A run may come in several micro-batches: the state holds what the run before it accepted
+    beside what it has accepted so far, so decisions don't depend on where it was cut. Items of a run that is older than the last
+    are late and rejected as stale.
     """
 
     def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, known = state.get if state.exists else (None, [])
+        last, known, before = state.get if state.exists else (None, [], None)
         items = pd.concat(list(frames)).sort_values(["run_at", "position", "url_hash"])
         for run_at, run in items.groupby("run_at"):
-            moment = int(run_at.timestamp())
-            seen = set(known)
+            moment = int(run_at.timestamp() * 1e6)
+            if last is None or moment > last:
+                last, known, before = moment, [], None if last is None else known
+            seen = set(before or [])
             out = []
             for r in run.itertuples(index=False):
-                if last is None:
-                    how = "heuristic_missing_baseline"
-                elif moment < last - 60 * GRACE_MINUTES:
+                if moment < last:
                     how = "heuristic_stale_first_seen"
+                elif before is None:
+                    how = "heuristic_missing_baseline"
                 elif r.url_hash in seen:
                     how = "heuristic_previously_observed"
                 elif r.position > LAST_PLACE:
@@ -55,13 +59,12 @@ def undated_gate(stream: DataFrame) -> DataFrame:
                 else:
                     how = "heuristic_stateful_new_since_last_run"
                 out.append((key[0], run_at, r.url_hash, r.position, "accepted_inferred" if how.endswith("last_run") else "rejected_unknown", how))
-            if last is None or moment >= last:
-                last, known = moment, [o[2] for o in out if o[4] == "accepted_inferred"]
+            known = [*known, *(o[2] for o in out if o[4] == "accepted_inferred")]
             yield pd.DataFrame(out, columns=["source_id", "run_at", "url_hash", "position", "decision", "method"])
-        state.update((last, known))
+        state.update((last, known, before))
 
     schema = "source_id string, run_at timestamp, url_hash string, position int, decision string, method string"
-    return stream.select("source_id", "run_at", "url_hash", "position").groupBy("source_id").applyInPandasWithState(judge, schema, "last bigint, known array<string>", "append", GroupStateTimeout.NoTimeout)
+    return stream.select("source_id", "run_at", "url_hash", "position").groupBy("source_id").applyInPandasWithState(judge, schema, "last bigint, known array<string>, before array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
 def bucket(stream: DataFrame, key: str, at: str, *, rate: float = 5.0, burst: float = 10.0) -> DataFrame:
@@ -87,8 +90,11 @@ def bucket(stream: DataFrame, key: str, at: str, *, rate: float = 5.0, burst: fl
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder for state and results where driver and executors meet: under spark.checkpoint.dir, or a temporary one if
-    that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
+    that is unset and the session is local, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    base = base or f"file://{tempfile.gettempdir()}"
     return f"{base.rstrip('/')}/quern-stream-{uuid.uuid4().hex[:12]}"
 
 

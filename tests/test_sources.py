@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
+from quern.operators import freshness, summary
 from quern.plans import export
-from quern.sources import feeds, markup, robots
+from quern.sources import feeds, inputs, markup, robots
 from quern.streaming import signals as stream
 
 PAGE = """<html><head><title>Fallback</title><meta property="og:title" content="The title"><meta name="author" content="Ann"><meta property="og:site_name" content="Acme"><meta name="description" content="Sum"></head>
@@ -47,6 +49,8 @@ def test_robots_and_counters(spark):
     rules = spark.createDataFrame([("https://a.b", 200, "User-agent: *\nDisallow: /x")], "origin string, status int, body string")
     df = spark.createDataFrame([("https://a.b/x/1",), ("https://a.b/y",), ("https://c.d/x",), (None,)], "url string")
     assert {r.url: r.allowed for r in robots.allowed(df, rules, "q").collect()} == {"https://a.b/x/1": False, "https://a.b/y": True, "https://c.d/x": True, None: True}
+    odd = spark.createDataFrame([("http://[x",)], "url string")
+    assert [r.allowed for r in robots.allowed(odd, spark.createDataFrame([("http://[x", 200, "User-agent: *\nDisallow: /")], "origin string, status int, body string"), "q").collect()] == [True]
     got = spark.createDataFrame([(0, "1.2k stars"), (1, "3,400"), (2, "2M"), (3, "none")], "i int, t string").orderBy("i").select(feeds.counter(F.col("t")).alias("n")).collect()
     assert [r.n for r in got] == [1200, 3400, 2_000_000, None]
 
@@ -59,6 +63,11 @@ def test_exports(spark, tmp_path):
 
     text = "".join(p.read_text() for p in sorted(Path(f"{tmp_path}/array").glob("part-*")))
     assert [r["id"] for r in json.loads(text)] == [1, 2, 3] and json.loads(text)[1] == {"id": 2, "name": 'b "q"', "n": None}
+    ties = spark.createDataFrame([(None, "x"), (None, "x"), (2, "b"), (2, "a"), (2, "b")], "id int, v string")
+    for rows, n in ((ties, 5), (ties.limit(0), 0), (ties.where("v = 'x'"), 2)):
+        export.write_json_array(rows, "id", f"{tmp_path}/array")
+        found = json.loads("".join(p.read_text() for p in sorted(Path(f"{tmp_path}/array").glob("part-*"))))
+        assert len(found) == n and found == sorted(found, key=lambda r: (r["id"] or 0, r["v"]))
     export.write_jsonl(df, f"{tmp_path}/lines")
     assert spark.read.json(f"{tmp_path}/lines").count() == 3
     counts = export.write_workbook({"Some Tab": df, "Empty": df.limit(0)}, f"{tmp_path}/book")
@@ -77,3 +86,63 @@ def test_streams_equal_batches(spark, tmp_path):
     assert how == {
         ("01", "u1"): "missing_baseline", ("01", "u2"): "missing_baseline", ("02", "u1"): "stateful_new_since_last_run", ("02", "u3"): "deep_listing_position", ("03", "u1"): "previously_observed", ("03", "u4"): "stateful_new_since_last_run",
     }
+
+
+def test_a_run_in_several_micro_batches_is_one_run(spark, tmp_path):
+    """Whatever the cut: a baseline of four items, and a run whose items the next one knows."""
+    days = ["2026-09-01"] * 4 + ["2026-09-02"] * 4 + ["2026-09-03"] * 4
+    rows = [(d, f"u{i % 4}", i % 4) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "d string, url_hash string, position int").select(F.lit("s").alias("source_id"), F.to_timestamp("d").alias("run_at"), "url_hash", "position")
+    found, all_rows = [], df.collect()
+    for name, cuts in (("one", [0, 12]), ("cut", [0, 2, 5, 6, 11, 12])):
+        for a, b in zip(cuts, cuts[1:], strict=False):  # a micro-batch each
+            spark.createDataFrame(all_rows[a:b], df.schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}/in")
+            read = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/{name}/in")
+            got = stream.run_to_end(stream.undated_gate(read), "undated", f"{tmp_path}/{name}/check")
+        found.append(sorted(map(tuple, got.select(F.col("run_at").cast("string"), "url_hash", "method").collect())))
+    assert found[0] == found[1] and len(found[0]) == 12
+    assert [m for _, _, m in found[0]] == ["heuristic_missing_baseline"] * 4 + ["heuristic_stateful_new_since_last_run"] * 4 + ["heuristic_previously_observed"] * 4
+
+
+def test_a_directory_is_cut_only_where_it_says_so(spark):
+    import json
+
+    body = json.dumps({str(i): {"cik_str": i, "ticker": "T", "title": f"Firm {i}"} for i in range(1500)})
+    df = spark.createDataFrame([(body, None)], "body string, batch_count int")
+    assert feeds.directory_records(df, "d", "https://d.example/").count() == 1500
+    assert feeds.directory_records(df.withColumn("batch_count", F.lit(7)), "d", "https://d.example/").count() == 7
+
+
+def test_unreadable_payloads_and_selections(spark):
+    bad = feeds.unreadable(spark.createDataFrame([(1, "<feed/>"), (2, "<feed>"), (3, None)], "k int, body string")).collect()
+    assert sorted(r.k for r in bad) == [2, 3] and all(r.error.startswith("ParseError") for r in bad)
+    assert feeds.selected("research_paper") == ("papers",) and feeds.selected("startup") == ("knowledge_base", "directory") and len(feeds.selected()) == 5
+    with pytest.raises(ValueError):
+        feeds.selected("poem")
+
+
+def test_inputs(spark, tmp_path):
+    (tmp_path / "sources.json").write_text('[{"id": "a", "type": "news"}, {"id": "b", "type": "job"}, {"id": "c", "type": "news"}]')
+    (tmp_path / "object.json").write_text('{"id": "a"}')
+    sources = inputs.read_sources(spark, f"{tmp_path}/sources.json", "id string, type string")
+    assert sorted(r.id for r in inputs.selected_sources(sources, kind="news").collect()) == ["a", "c"]
+    assert [r.id for r in inputs.selected_sources(sources, ["a", "b"], "job").collect()] == ["b"] and inputs.selected_sources(sources, []).count() == 3
+    with pytest.raises(ValueError):
+        inputs.read_sources(spark, f"{tmp_path}/object.json", "id string")
+    folder = tmp_path / "docs"
+    folder.mkdir()
+    for name, text in {"a.HTML": "x", "b.txt": "  <p>x", "c.txt": "x < y"}.items():
+        (folder / name).write_text(text)
+    got = {r.path.rpartition("/")[2]: r.is_html for r in inputs.read_documents(spark, str(folder)).collect()}
+    assert got == {"a.HTML": True, "b.txt": True, "c.txt": False}
+
+
+def test_run_history_and_future_dates(spark):
+    outcomes = spark.createDataFrame([("a", "accepted_verified"), ("a", "error"), ("b", "rejected_stale")], "source_id string, outcome string")
+    sums, at = summary.run_summary(outcomes), F.to_timestamp(F.lit("2026-09-01"))
+    empty = spark.createDataFrame([], "run_id string, source_id string, status string, started_at timestamp, completed_at timestamp, summary_json string")
+    once = summary.run_history(empty, sums, at, at)
+    assert {(r.source_id, r.status) for r in once.collect()} == {("a", "PARTIAL"), ("b", "SUCCESS")} and '"accepted_count":1' in once.where("source_id = 'a'").collect()[0].summary_json
+    assert summary.run_history(once, sums, at, at).count() == 2
+    dates = spark.createDataFrame([("2026-09-01 00:15:00",), ("2026-09-01 00:15:01",), (None,)], "d string")
+    assert [r[0] for r in dates.select(freshness.is_future(F.to_timestamp("d"), at)).collect()] == [False, True, None]
