@@ -113,7 +113,7 @@ def test_consolidation(spark):
 
 
 def test_schemas(spark):
-    good = {"schemaVersion": "1.0", "recordType": "RESEARCH_PAPER", "source": {"name": "s", "url": "u"}, "content": {"title": "t", "authors": ["a"], "paper_url": "p", "github_url": None, "github_stars": 3}, "collectedAt": "now", "more": 1}
+    good = {"schemaVersion": "1.0", "recordType": "RESEARCH_PAPER", "source": {"name": "s", "url": "u"}, "content": {"title": "t", "authors": ["a"], "paper_url": "p", "github_url": None, "github_stars": 3, "published_date": "d"}, "collectedAt": "now", "more": 1}
     cases = [
         (good, ""), (good | {"source": None}, "/source must be object"), ({k: v for k, v in good.items() if k != "collectedAt"}, "/ must have required property 'collectedAt'"), (good | {"content": good["content"] | {"github_stars": None}}, "/content/github_stars must be integer"),
         (good | {"content": good["content"] | {"github_stars": -1}}, "/content/github_stars must be >= 0"), (good | {"content": good["content"] | {"authors": ["a", 2]}}, "/content/authors/items must be string"), (good | {"source": {"name": "", "url": "u"}}, "/source/name must NOT have fewer than 1 characters"),
