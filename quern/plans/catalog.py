@@ -379,23 +379,47 @@ def rechunk_oversized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.rechunk_oversized(made, 2500).select("doc_id", "index", "sub_index", F.length("content").alias("char_count"))
 
 
-@query(r"""SELECT page_id, nullif(replace(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), chr(32) || chr(10) || chr(9) || chr(13)), '&amp;', '&'), '') AS title FROM pages""")
+_TITLE_SQL = r"""nullif(replace(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), chr(32) || chr(10) || chr(9) || chr(13)), '&amp;', '&'), '')"""
+
+
+@query(f"SELECT page_id, {_TITLE_SQL} AS title FROM pages")
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.html_title(F.col("html")).alias("title"))
 
 
-@query()
+def _unescaped_sql(column: str) -> str:
+    return f"replace(replace({column}, '&amp;', '&'), '&quot;', '\"')"
+
+
+#: The pages as the normalizer shows them: no scripts, menus and footers, a heading's mark, a blank line before each paragraph.
+_MARKED_SQL = r"regexp_replace(html, '(?s)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', ' ', 'g')"
+_MARKED_SQL = rf"regexp_replace({_MARKED_SQL}, '(?s)<nav>.*?</nav>|<footer>.*?</footer>|<br>|</(?:p|div|article)>', chr(10), 'g')"
+_MARKED_SQL = rf"regexp_replace({_MARKED_SQL}, '(?s)<h1>(.*?)</h1>', concat(chr(10), chr(10), '# \1', chr(10), chr(10)), 'g')"
+_MARKED_SQL = rf"regexp_replace(regexp_replace({_MARKED_SQL}, '<(?:p|div|article)(?: [^>]*)?>', repeat(chr(10), 2), 'g'), '<[^>]+>', ' ', 'g')"
+_MARKED_SQL = rf"regexp_replace(regexp_replace({_unescaped_sql(_MARKED_SQL)}, '[ \t]+([.,;:!?])', '\1', 'g'), '[ \t]+', ' ', 'g')"
+_MARKED_SQL = rf"regexp_replace(regexp_replace({_MARKED_SQL}, ' ?\n ?', chr(10), 'g'), '\n{{3,}}', repeat(chr(10), 2), 'g')"
+
+
+@query(
+    rf"""SELECT page_id, text, CAST(CASE WHEN text = '' THEN 0 ELSE greatest(ceil(length(text) / 3.7::DOUBLE), ceil(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w != '')) * 1.35::DOUBLE), 1) END AS BIGINT) AS tokens
+    FROM (SELECT page_id, concat('Document Title: ' || {_TITLE_SQL} || repeat(chr(10), 2), trim({_MARKED_SQL}, chr(32) || chr(10))) AS text FROM pages)"""
+)
 def html_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     normal = text.normalized_html(F.col("html"))
     return table(spark, sf_dir, "pages").select("page_id", normal.alias("text"), text.token_estimate(normal).alias("tokens"))
 
 
-@query()
+#: The pages' articles: a marked heading and paragraphs. A paragraph that leaves its bold type open holds all that follows.
+_ARTICLE_SQL = r"""(SELECT *, array_to_string(list_filter(list_concat([concat('# ', trim(regexp_extract(body, '(?s)<h1>(.*?)</h1>', 1)))], list_transform(list_concat(string_split(split_part(rest, '<p><b>', 1), '</p>'), [substring(rest, length(split_part(rest, '<p><b>', 1)) + 1)]), lambda x: trim(regexp_replace(x, '(?:\s*<[^>]+>\s*)+', ' ', 'g')))), lambda x: x != ''), repeat(chr(10), 2)) AS said
+    FROM (SELECT *, regexp_replace(body, '(?s)^.*</h1>', '') AS rest FROM (SELECT *, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages)))"""
+
+
+@query(f"SELECT page_id, {_TITLE_SQL} AS title, NULL AS author, NULL AS summary, {_unescaped_sql('said')} AS full_text FROM {_ARTICLE_SQL}")
 def article_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.extract_articles(table(spark, sf_dir, "pages"))
 
 
-@query()
+@query(f"SELECT page_id, {_TITLE_SQL} AS title, 'Unknown Company' AS company, NULL AS location, NULL AS salary, {_unescaped_sql('said')} AS description_full_text FROM {_ARTICLE_SQL}")
 def job_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.extract_jobs(table(spark, sf_dir, "pages"))
 
@@ -635,7 +659,12 @@ def discover_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("source_id", F.regexp_extract("raw_url", r"/job/(\d+)-(\d)$", 1).cast("bigint").alias("page_id"), F.regexp_extract("raw_url", r"/job/(\d+)-(\d)$", 2).cast("bigint").alias("j"), "position")
 
 
-@query()
+@query(
+    rf"""SELECT source_id, CAST(page_id AS INT) AS payload_no, CAST(row_number() OVER (PARTITION BY source_id ORDER BY page_id, i) - 1 AS INT) AS position,
+        concat(regexp_extract(url, '^[a-z]+://[^/?#]+'), regexp_extract(item, 'href="([^"]*)"', 1)) AS raw_url, {_unescaped_sql("regexp_extract(item, '>([^<]*)</a>', 1)")} AS title
+    FROM (SELECT page_id, url, regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), '^www\.', '') AS source_id, unnest(items) AS item, generate_subscripts(items, 1) AS i
+        FROM (SELECT *, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li><a [^>]*>[^<]*</a>') AS items FROM pages))"""
+)
 def discover_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = table(spark, sf_dir, "pages").select(urls.domain(F.col("url")).alias("source_id"), F.col("page_id").cast("int").alias("payload_no"), F.col("html").alias("body"), F.col("url").alias("base_url"))
     found, _ = feeds.discover_listing(payloads, {"item_container": "nav li, article"}, limit=None)
@@ -707,7 +736,13 @@ def choose_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Whole plans, tabs and streams ---------------------------------------------------------------------------------------
 
-@query()
+@query(
+    f"""SELECT sha256(concat('view|', sha256(c.url))) AS id, c.url AS canonical_url, d.title,
+        CASE WHEN page_id % 4 != 0 THEN CASE WHEN page_id % 48 <= 24 THEN 'accepted_verified' ELSE 'rejected_stale' END WHEN page_id % 40 > 25 THEN 'rejected_unknown' ELSE 'accepted_inferred' END AS freshness_decision,
+        CASE WHEN page_id % 4 != 0 THEN 'structured_feed_pubdate' WHEN page_id % 40 > 25 THEN 'heuristic_deep_listing_position' ELSE 'heuristic_stateful_new_since_last_run' END AS date_extraction_method, d.n_chars
+    FROM (SELECT page_id, {_SIGNAL} AS url FROM (SELECT page_id, trim(url) AS t FROM pages)) c
+    JOIN (SELECT {_SIGNAL} AS url, arg_min({_TITLE_SQL}, page_id) AS title, CAST(length(arg_min({_unescaped_sql('said')}, page_id)) AS INT) AS n_chars FROM (SELECT *, trim(url) AS t FROM {_ARTICLE_SQL}) GROUP BY ALL) d USING (url)"""
+)
 def signal_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as news of one source, dated by their feed; decisions by page."""
     pages = table(spark, sf_dir, "pages")
@@ -716,7 +751,7 @@ def signal_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("view").alias("source_id"), F.col("url").alias("raw_url"), F.lit("").alias("title"), F.when(F.col("page_id") % 4 != 0, feed_date).alias("published_date_raw"), F.lit(None).cast("string").alias("author_or_company"), F.lit("").alias("description"),
         (F.col("page_id") % 40).cast("int").alias("position"), F.lit(None).cast("timestamp").alias("first_seen_at"),
     )
-    details = pages.select(urls.signal_url(F.col("url")).alias("canonical_url"), "html").dropDuplicates(["canonical_url"])
+    details = dedup.keep_first(pages.select("page_id", urls.signal_url(F.col("url")).alias("canonical_url"), "html"), "canonical_url", ["page_id"])
     sources = spark.createDataFrame([("view", "View", "news", "https://x.example")], "source_id string, name string, type string, base_url string")
     done = signals.ingest(candidates, details, sources, _state(spark), _reference())
     return done.select("id", "canonical_url", "title", "freshness_decision", "date_extraction_method", F.length("full_text").alias("n_chars"))

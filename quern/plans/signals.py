@@ -24,13 +24,12 @@ def extract_signals(candidates: DataFrame, details: DataFrame, sources: DataFram
     df = own.join(details.select("canonical_url", "html"), "canonical_url", "left")
     df = df.withColumn("page", F.coalesce(F.nullif("html", F.lit("")), "description", F.lit("")))
 
-    # Pages are read once for articles and once for jobs, each for its own sources only.
-    keyed = df.withColumn("key", F.xxhash64("source_id", "canonical_url", "position").cast("string"))
-    news = markup.extract_articles(keyed.where("type = 'news'"), key="key", column="page", selectors=selectors)
-    jobs = markup.extract_jobs(keyed.where("type != 'news'"), key="key", column="page", selectors=selectors)
-    content = news.select("key", "title", "author", "summary", F.lit(None).cast("string").alias("company"), F.lit(None).cast("string").alias("location"), F.lit(None).cast("string").alias("salary"), "full_text")
-    content = content.union(jobs.select("key", "title", F.lit(None).cast("string"), F.lit(None).cast("string"), "company", "location", "salary", "description_full_text"))
-    df = keyed.withColumnRenamed("title", "listed_title").join(content, "key", "left").drop("key")
+    # Pages are read once for articles and once for jobs, each for its own sources only, and where their rows are.
+    is_news = F.col("type") == "news"
+    df = df.withColumn("article", markup.article_column(F.when(is_news, F.col("page")), selectors)).withColumn("job", markup.job_column(F.when(~is_news, F.col("page")), selectors))
+    of_news, of_jobs = (lambda name: F.when(is_news, F.col(f"article.{name}"))), (lambda name: F.when(~is_news, F.col(f"job.{name}")))
+    df = df.withColumn("listed_title", F.col("title")).withColumn("title", F.coalesce(of_news("title"), of_jobs("title"))).withColumn("full_text", F.coalesce(of_news("full_text"), of_jobs("description_full_text")))
+    df = df.withColumns({name: of_news(name) for name in ("author", "summary")} | {name: of_jobs(name) for name in ("company", "location", "salary")})
 
     blank = lambda *cs: F.coalesce(*(F.nullif(c, F.lit("")) for c in cs))
     untitled = F.when(F.col("type") == "news", F.lit("Untitled Article")).otherwise(F.lit("Untitled Job"))

@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Elements without readable text, and words in a class or id (also within other words) that mark chrome.
@@ -224,26 +224,31 @@ def job(html: str | None, selectors: dict[str, str] | None = None) -> dict[str,
 ARTICLE, JOB = ("title", "author", "summary", "full_text"), ("title", "company", "location", "salary", "description_full_text")
 
 
-def _extracted(pages: DataFrame, key: str, column: str, names: tuple[str, ...], one: Callable[[str | None], dict]) -> DataFrame:
-    kind = pages.schema[key].dataType.simpleString()
+def _column(html: Column, names: tuple[str, ...], one: Callable[[str | None], dict]) -> Column:
+    def run(pages: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(h) for h in pages], columns=list(names))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = pd.DataFrame([one(h) for h in frame["html"]], columns=list(names), index=frame.index)
-            yield pd.concat([frame[["key"]], found], axis=1)
+    return F.pandas_udf(run, ", ".join(f"{n} string" for n in names))(html)
 
-    own = pages.select(F.col(key).alias("key"), F.col(column).alias("html"))
-    return own.mapInPandas(run, f"key {kind}, " + ", ".join(f"{n} string" for n in names)).withColumnRenamed("key", key)
+
+def article_column(html: Column, selectors: dict[str, str] | None = None) -> Column:
+    """title, author, summary and full_text of a page as a struct; empty texts for null."""
+    return _column(html, ARTICLE, lambda h: article(h, selectors))
+
+
+def job_column(html: Column, selectors: dict[str, str] | None = None) -> Column:
+    """title, company, location, salary and description_full_text of a page as a struct."""
+    return _column(html, JOB, lambda h: job(h, selectors))
 
 
 def extract_articles(pages: DataFrame, *, key: str = "page_id", column: str = "html", selectors: dict[str, str] | None = None) -> DataFrame:
     """key, title, author, summary and full_text of each page, in one reading of it."""
-    return _extracted(pages, key, column, ARTICLE, lambda h: article(h, selectors))
+    return pages.select(key, article_column(F.col(column), selectors).alias("found")).select(key, "found.*")
 
 
 def extract_jobs(pages: DataFrame, *, key: str = "page_id", column: str = "html", selectors: dict[str, str] | None = None) -> DataFrame:
     """key, title, company, location, salary and description_full_text of each page."""
-    return _extracted(pages, key, column, JOB, lambda h: job(h, selectors))
+    return pages.select(key, job_column(F.col(column), selectors).alias("found")).select(key, "found.*")
 
 
 def listing(html: str | None, base: str, selectors: dict[str, str]) -> list[tuple[str, str | None, str | None]]:

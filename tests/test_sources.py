@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import freshness, summary
-from quern.plans import export
+from quern.plans import export, signals
 from quern.sources import feeds, inputs, markup, robots
 from quern.streaming import signals as stream
 
@@ -146,3 +146,12 @@ def test_run_history_and_future_dates(spark):
     assert summary.run_history(once, sums, at, at).count() == 2
     dates = spark.createDataFrame([("2026-09-01 00:15:00",), ("2026-09-01 00:15:01",), (None,)], "d string")
     assert [r[0] for r in dates.select(freshness.is_future(F.to_timestamp("d"), at)).collect()] == [False, True, None]
+
+
+def test_repeated_candidates_stay_as_many(spark):
+    candidates = spark.createDataFrame([("n", "/a", "listed", None, None, "d", 0, None)] * 2 + [("j", "/a", "listed", None, "C", "d", 0, None), ("n", "/none", "", None, None, "told", 1, None)], "source_id string, raw_url string, title string, published_date_raw string, author_or_company string, description string, position int, first_seen_at timestamp")
+    details = spark.createDataFrame([("https://x.example/a", "<title>T</title><article><p>one</p></article>")], "canonical_url string, html string")
+    sources = spark.createDataFrame([("n", "N", "news", "https://x.example"), ("j", "J", "job", "https://x.example")], "source_id string, name string, type string, base_url string")
+    done = signals.extract_signals(candidates, details, sources, F.to_timestamp(F.lit("2024-01-15 00:00:00")))
+    found = sorted((r.source_id, r.position, r.title, r.full_text, r.company) for r in done.collect())
+    assert found == [("j", 0, "T", "one", "Unknown Company"), ("n", 0, "T", "one", None), ("n", 0, "T", "one", None), ("n", 1, "Untitled Article", "told", None)]
