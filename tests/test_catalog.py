@@ -42,6 +42,22 @@ def test_query(spark, duck, name):
         assert found == sorted((tuple(plain(r[at[c]]) for c in columns) for r in result.fetchall()), key=repr)
 
 
+#: A title and heading that end within a reference, as pages have where they are cut.
+CUT = [(i, f"https://a.example/{i}", f"<title>T{i} &amp;{cut}</title><body><article><h1>T{i} &amp;{cut}</h1><p>x &amp; y</p></article></body>") for i, cut in enumerate(("&amp", "&am", "&", "&amp;", "&ampx", "&quot"))]
+
+
+@pytest.mark.parametrize("name", ["article_content"])
+def test_cut_references(spark, tmp_path, name):
+    import duckdb
+
+    spark.createDataFrame(CUT, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    df = catalog.QUERIES[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    expected = con.execute(f"SELECT {', '.join(df.columns)} FROM ({catalog.ORACLES[name]})").fetchall()
+    assert len(expected) == len(CUT) and sorted(map(tuple, df.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["page_id", "canonical_url", "url_hash", "n_chunks", "tokens"] and df.count() > 0

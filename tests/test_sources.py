@@ -22,6 +22,16 @@ def test_article_and_job():
     assert markup.job(None)["company"] == markup.UNKNOWN_COMPANY and markup.article("")["full_text"] == ""
 
 
+def test_named_references_need_their_semicolon():
+    a = markup.article('<title>A&amp;&amp</title><meta name="author" content="B &copy C"><article><h1>A&amp;&amp</h1><p>&quot;x&quot &notit; &notin; &copy; &#38 &ampb &</p></article>')
+    assert a == {"title": "A&&amp", "author": "B &copy C", "summary": None, "full_text": '# A&&amp\n\n"x&quot &notit; \u2209 \xa9 & &ampb &'}
+    assert markup.listing('<a href="/l?a=1&copy=2&amp;lt=3">t &amp u</a>', "https://b.c/", {}) == [("https://b.c/l?a=1&copy=2&lt=3", "t &amp u", None)]
+    odd = "<p \U000f0000&copy='&copy'>\U000f0000&amp</p><script>&amp &amp;</script>"  # the first character that might stand for an ampersand is the page's own
+    assert list(markup.tree(odd).texts()) == ["\U000f0000&amp", "&amp &amp;"] and markup.tree(odd).find("p").attrs == {"\U000f0000&copy": "&copy"}
+    (card,) = markup.product_cards('<div><h3><a href="/a">A &amp B</a></h3></div>', "https://b.c")  # read by Python's parser in the first place
+    assert card[0] == "A & B"
+
+
 def test_selectors():
     root = markup.tree('<div id="x" class="a b"><p data-k="one two"><a href="https://q">t</a></p></div><p class="b">u</p>')
     count = lambda s: sum(1 for _ in root.select(s))
