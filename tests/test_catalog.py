@@ -46,7 +46,7 @@ def test_query(spark, duck, name):
 CUT = [(i, f"https://a.example/{i}", f"<title>T{i} &amp;{cut}</title><body><article><h1>T{i} &amp;{cut}</h1><p>x &amp; y</p></article></body>") for i, cut in enumerate(("&amp", "&am", "&", "&amp;", "&ampx", "&quot"))]
 
 
-@pytest.mark.parametrize("name", ["article_content", "job_content"])
+@pytest.mark.parametrize("name", ["article_content", "job_content", "signal_ingest"])
 def test_cut_references(spark, tmp_path, name):
     import duckdb
 
